@@ -6,16 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.plans import general
+from spanloom.plans import general, quotes
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return general.p1_found(spark, sf_dir)
+    return quotes.quote_matches(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(general.QUERIES)
+    return general.QUERIES | quotes.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(general.ORACLES)
+    return general.ORACLES | quotes.ORACLES
