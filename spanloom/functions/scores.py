@@ -38,10 +38,18 @@ def one_edit(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:]
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=500_000)
+def _alike(a: str, b: str) -> bool:
+    n, m = len(a), len(b)
+    if abs(n - m) <= 1 and one_edit(a, b):
+        return True
+    # the subsequence is at most the shorter word, which settles most pairs
+    return min(n, m) >= 4 and 200 * min(n, m) >= 85 * (n + m) and ratio(a, b) >= 85.0
+
+
 def alike(a: str, b: str) -> bool:
     """Words that count as the same: equal, one edit apart, or both of four letters and 85 % similar."""
-    return a == b or one_edit(a, b) or (min(len(a), len(b)) >= 4 and ratio(a, b) >= 85.0)
+    return a == b or _alike(a, b)
 
 
 @F.pandas_udf(T.DoubleType())

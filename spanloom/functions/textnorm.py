@@ -16,7 +16,8 @@ from spanloom.config import NormRules
 MARKS = r"[\x{0610}-\x{061A}\x{064B}-\x{065F}\x{0670}\x{06D6}-\x{06DC}\x{06DF}-\x{06E4}\x{06E7}\x{06E8}\x{06EA}-\x{06ED}\x{08D3}-\x{08FF}]"
 TATWEEL = "ـ"
 NOT_LETTERS = r"[^\x{0621}-\x{064A} ]+"
-SPACE = r"[\s\x{001C}-\x{001F}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: White space besides the plain space.
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 @F.pandas_udf(T.StringType())
@@ -51,7 +52,12 @@ def arabic(text: Column, rules: NormRules = NormRules()) -> Column:
         t = F.translate(t, "".join(a for a, _ in swaps), "".join(b for _, b in swaps))
     if rules.letters_only:
         t = F.regexp_replace(t, NOT_LETTERS, " ")
-    return F.trim(F.regexp_replace(t, SPACE + "+", " "))
+    return F.trim(F.regexp_replace(plain_spaces(t), " {2,}", " "))
+
+
+def plain_spaces(text: Column) -> Column:
+    """Every white-space character as a plain space."""
+    return F.translate(text, SPACES, " " * len(SPACES))
 
 
 def latin(text: Column) -> Column:
@@ -66,7 +72,7 @@ def tokens(normal: Column) -> Column:
 
 def pieces(text: Column) -> Column:
     """White-space pieces of any text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")
+    return F.filter(F.split(plain_spaces(F.coalesce(text, F.lit(""))), " "), lambda w: w != "")
 
 
 def alignment(source: Column, rules: NormRules = NormRules()) -> Column:

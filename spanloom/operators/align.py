@@ -103,7 +103,9 @@ def raw_matches(arrays: DataFrame, passages: DataFrame, cfg: Config = Config())
     ``first_seed`` is the document's first seed of the passage; spans tie in
     the order (first_seed, verse_id, word_start).
     """
-    found = seeds(arrays, passages, cfg.bigram_df_cap).repartition("doc")
+    found = seeds(arrays, passages, cfg.bigram_df_cap)
+    # Few bytes but much work a row: the number of tasks must not be cut down to the bytes.
+    found = found.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc")
     pairs = found.groupBy("doc", "verse_id").agg(F.collect_list(F.struct("tpos", "vpos")).alias("places"))
     pairs = pairs.join(passages.select("verse_id", "tokens"), "verse_id")
     placed = pairs.join(arrays.select("doc", F.col("words.norm").alias("t")), "doc")

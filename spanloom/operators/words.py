@@ -27,15 +27,14 @@ def _zero(*cols: Column) -> Column:
 
 def segment_words(s: Column, seg_pos: Column, rules: NormRules = NormRules()) -> Column:
     """Words of one segment: ARRAY<STRUCT<raw, norm, seg_pos, seg_id, pos, start, end>>."""
-    lo, hi = _zero(s["start"]), _zero(s["end"])
-
     def word(raw: Column, pos: Column, start: Column, end: Column) -> Column:
         return F.struct(raw.alias("raw"), textnorm.arabic(raw, rules).alias("norm"), seg_pos.alias("seg_pos"), F.coalesce(s["id"], F.lit(0)).alias("seg_id"), pos.alias("pos"), start.alias("start"), end.alias("end"))
 
     timed = F.transform(s["words"], lambda w, i: word(F.regexp_replace(F.coalesce(w["word"], F.lit("")), STRIP, ""), i, _zero(w["start"], s["start"]), _zero(w["end"], s["end"])))
-    cut = textnorm.pieces(s["text"])
-    step = (hi - lo) / F.greatest(F.size(cut), F.lit(1))
-    spread = F.transform(cut, lambda w, i: word(w, i, lo + i * step, lo + (i + 1) * step))
+    # The parameter of an outer function, so that the text is cut once and not once a word.
+    cut = F.array(F.struct(textnorm.pieces(s["text"]).alias("p"), _zero(s["start"]).alias("lo"), _zero(s["end"]).alias("hi")))
+    step = lambda c: (c["hi"] - c["lo"]) / F.greatest(F.size(c["p"]), F.lit(1))
+    spread = F.flatten(F.transform(cut, lambda c: F.transform(c["p"], lambda w, i: word(w, i, c["lo"] + i * step(c), c["lo"] + (i + 1) * step(c)))))
     return F.filter(F.when(F.size(s["words"]) > 0, timed).otherwise(spread), lambda w: w["norm"] != "")
 
 

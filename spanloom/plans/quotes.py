@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import scores, textnorm
 from spanloom.operators import align, catalog, corpus, decide, evaluate, manifest, recover, rewrite, search, words
 from spanloom.plans import pipeline
-from spanloom.sources.tables import table
+from spanloom.sources.tables import dealt_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,7 +83,11 @@ seeds AS (SELECT a.doc, a.g AS tpos, p.verse_id, p.vpos FROM words a JOIN words
 
 
 def _arrays(spark: SparkSession, d: str, *keep: str) -> DataFrame:
-    return words.word_arrays(table(spark, d, "transcripts"), "transcript_id", keep=keep)
+    return words.word_arrays(_transcripts(spark, d, "segments", *keep), "transcript_id", keep=keep)
+
+
+def _transcripts(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    return dealt_out(table(spark, d, "transcripts").select("transcript_id", *cols), "transcript_id")
 
 
 def _passages(spark: SparkSession, d: str) -> DataFrame:
@@ -242,7 +246,7 @@ def last_occurrence_wins(spark: SparkSession, d: str) -> DataFrame:
 @_query()
 def recover_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """Verified matches of every transcript with their recovered neighbours, chained."""
-    e = pipeline.enrich(table(spark, d, "transcripts"), table(spark, d, "verses"))
+    e = pipeline.enrich(_transcripts(spark, d, "segments", "surah_order"), table(spark, d, "verses"))
     return e.matches
 
 

@@ -21,7 +21,7 @@ from spanloom.sources.package import ship
 
 
 def listing(spark: SparkSession, folder: str, recursive: bool = False, glob: str | None = None) -> DataFrame:
-    """path of the files in a folder; their contents are not read."""
+    """path of the files in a folder; their contents are not read. Files without a byte are left out."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)

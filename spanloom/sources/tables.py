@@ -27,3 +27,14 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def dealt_out(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores where it comes in fewer pieces than there are, else as it is.
+
+    A table in a few small files is read by a few tasks only; before costly
+    work per row its rows are hashed over the cores. A large table comes in
+    more pieces than cores and is not shuffled.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, key) if df._jdf.queryExecution().toRdd().getNumPartitions() < n else df
