@@ -86,6 +86,27 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return out.select("transcript_id", "piece_no", F.col("first_part").alias("first_segment"), F.col("last_part").alias("last_segment"))
 
 
+P6_SQL = """
+WITH RECURSIVE s AS (SELECT transcript_id, unnest(segments) AS s FROM transcripts),
+m AS (SELECT transcript_id, s.id AS id, CAST(round(s.start * 1000) AS BIGINT) AS lo, CAST(round(s."end" * 1000) AS BIGINT) AS hi FROM s),
+v AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY lo, id) AS i FROM m WHERE lo <= hi),
+n AS (SELECT transcript_id, max(i) AS n FROM v GROUP BY transcript_id HAVING max(hi) - min(lo) > 60000),
+j AS (
+  SELECT a.transcript_id, a.i, greatest(a.i, coalesce(min(b.i) - 1, any_value(n.n))) AS j
+  FROM v a JOIN n USING (transcript_id) LEFT JOIN v b ON b.transcript_id = a.transcript_id AND b.i >= a.i AND b.hi > a.lo + 60000 GROUP BY a.transcript_id, a.i
+),
+x AS (
+  SELECT j.transcript_id, j.i, j.j, CASE WHEN j.j > j.i AND greatest(l.hi, f.hi) - l.lo <= 60000 THEN j.j ELSE j.j + 1 END AS nxt, n.n
+  FROM j JOIN n USING (transcript_id) JOIN v l ON l.transcript_id = j.transcript_id AND l.i = j.j LEFT JOIN v f ON f.transcript_id = j.transcript_id AND f.i = j.j + 1
+),
+p AS (
+  SELECT transcript_id, 1 AS piece_no, i, j, nxt, n FROM x WHERE i = 1
+  UNION ALL SELECT x.transcript_id, p.piece_no + 1, x.i, x.j, x.nxt, x.n FROM p JOIN x ON x.transcript_id = p.transcript_id AND x.i = p.nxt WHERE p.j < p.n
+)
+SELECT p.transcript_id, p.piece_no, a.id AS first_segment, b.id AS last_segment FROM p JOIN v a ON a.transcript_id = p.transcript_id AND a.i = p.i JOIN v b ON b.transcript_id = p.transcript_id AND b.i = p.j
+"""
+
+
 def p6_texts(spark: SparkSession, d: str) -> DataFrame:
     """All documents in pieces of at most 1,000 characters, up to 100 of them from the piece before."""
     return pieces.split_text(table(spark, d, "documents"), "doc_id", "text", 1000, 100)
@@ -123,4 +144,4 @@ FROM n LEFT JOIN m ON m.primary_surah IS NOT DISTINCT FROM n.primary_surah AND m
 """
 
 QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found, "p4_words": p4_words, "p6_found": p6_found, "p6_texts": p6_texts, "p7_found": p7_found, "p7_matches": p7_matches}
-ORACLES: dict[str, str] = {"p1_found": P1_SQL, "p4_words": P4_WORDS_SQL, "p7_found": P7_SQL, "p7_matches": P7_MATCHES_SQL}
+ORACLES: dict[str, str] = {"p1_found": P1_SQL, "p4_words": P4_WORDS_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL, "p7_matches": P7_MATCHES_SQL}
