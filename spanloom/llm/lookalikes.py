@@ -24,7 +24,7 @@ def consistent(df: DataFrame, keys: Sequence[str], text: str, wider: str, only_o
     in their consistent form.
     """
     types = dict(df.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", odd boolean" + (", text string, form string, skeleton string" if with_form else "")
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "odd boolean", *(["text string", "form string", "skeleton string"] if with_form else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

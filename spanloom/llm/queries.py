@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import bpe, langid, leak, lookalikes, repetition, spans, texts
+from spanloom.llm import bpe, forms, langid, leak, lookalikes, repetition, spans, texts
 from spanloom.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,4 +88,36 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_share, p3_found, p3_measures, p5_found, p5_forms, p5_groups, p8_ids, p9_found, p9_leaks, p9_clean, p10_found, p10_langs)}
-ORACLES: dict[str, str] = {}
+
+P2_SQL = """
+WITH t AS (
+  SELECT 'segment_text' AS field_name, transcript_id, CAST(s.id AS BIGINT) AS item_id, s.text AS text FROM (SELECT transcript_id, unnest(segments) AS s FROM transcripts)
+  UNION ALL SELECT 'transcript_text', transcript_id, match_id, transcript_text FROM verified_matches
+  UNION ALL SELECT 'canonical_quoted', transcript_id, match_id, canonical_quoted FROM verified_matches
+),
+w AS (SELECT field_name, transcript_id, item_id, list_filter(string_split(text, ' '), lambda x: x <> '') AS w FROM t),
+p AS (SELECT field_name, transcript_id, item_id, w, unnest(range(0, len(w) - 15)) AS pos FROM w WHERE len(w) >= 16),
+k AS (SELECT field_name, transcript_id, item_id, pos, array_to_string(w[pos + 1 : pos + 16], ' ') AS k FROM p),
+r AS (SELECT k FROM k GROUP BY k HAVING count(DISTINCT transcript_id) > 1),
+h AS (SELECT field_name, transcript_id, item_id, pos, CASE WHEN pos > lag(pos) OVER (PARTITION BY field_name, transcript_id, item_id ORDER BY pos) + 16 THEN 1 ELSE 0 END AS fresh FROM k SEMI JOIN r USING (k)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY field_name, transcript_id, item_id ORDER BY pos) AS run FROM h)
+SELECT field_name, transcript_id, item_id, CAST(min(pos) AS INT) AS first_word, CAST(max(pos) + 15 AS INT) AS last_word FROM g GROUP BY field_name, transcript_id, item_id, run
+"""
+
+
+def _class(keep: str = "") -> str:
+    return "[^" + "".join(f"\\x{{{ord(c):04X}}}" for c in sorted(forms.ORDINARY | set(keep))) + "]"
+
+
+P5_SQL = f"""
+WITH t AS (
+  SELECT 'text_uthmani' AS field_name, CAST(verse_id AS BIGINT) AS record_id, -1 AS segment_id, text_uthmani AS text, false AS wider FROM verses
+  UNION ALL SELECT 'text_norm', verse_id, -1, text_norm, false FROM verses
+  UNION ALL SELECT 'segment_text', transcript_id, s.id, s.text, coalesce(language IN ('fa', 'ur'), false) FROM (SELECT transcript_id, language, unnest(segments) AS s FROM transcripts)
+  UNION ALL SELECT 'canonical_quoted', match_id, -1, canonical_quoted, false FROM verified_matches
+)
+SELECT field_name, record_id, segment_id FROM t WHERE text IS NOT NULL AND (nfc_normalize(text) <> text OR CASE WHEN wider THEN regexp_matches(text, '{_class(forms.PERSIAN_URDU)}') ELSE regexp_matches(text, '{_class()}') END)
+"""
+
+#: SQL where it can say the same; the other queries are tested against brute force and libraries.
+ORACLES: dict[str, str] = {"p2_found": P2_SQL, "p5_found": P5_SQL}
