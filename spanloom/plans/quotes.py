@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from spanloom.functions import scores, textnorm
 from spanloom.operators import align, catalog, corpus, decide, evaluate, manifest, recover, rewrite, search, words
 from spanloom.plans import pipeline
+from spanloom.schema import SEGMENT
 from spanloom.sources.tables import dealt_out, table
+from spanloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -412,6 +414,22 @@ def fts_all_terms(spark: SparkSession, d: str) -> DataFrame:
 @_query("SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE ts IS NOT NULL GROUP BY ALL")
 def event_windows(spark: SparkSession, d: str) -> DataFrame:
     """Events per hour and kind: the batch form of the streaming query."""
-    from spanloom.streaming import incremental
-
     return incremental.windowed_counts(table(spark, d, "events").where("ts IS NOT NULL"), "ts", "event_type").withColumn("total", F.round("total", 4))
+
+
+@_query(ORACLES["event_windows"])
+def stream_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The same by Structured Streaming over the table's files, late rows included."""
+    at = incremental.work_folder(spark)
+    events = incremental.table_stream(spark, f"{d}/events.parquet", "ts timestamp_ntz, event_type string, value double").where("ts IS NOT NULL")
+    incremental.run_windowed(events.withColumn("ts", F.col("ts").cast("timestamp")), f"{at}/out", f"{at}/state")  # watermarks need a time with a zone
+    return spark.read.parquet(f"{at}/out").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@_query()
+def stream_enrich(spark: SparkSession, d: str) -> DataFrame:
+    """Raw spans of the transcripts, found file by file by Structured Streaming."""
+    at = incremental.work_folder(spark)
+    docs = incremental.table_stream(spark, f"{d}/transcripts.parquet", f"transcript_id long, segments array<{SEGMENT}>", 4)
+    incremental.enrich_new(docs, table(spark, d, "verses"), f"{at}/out", f"{at}/state")
+    return spark.read.parquet(f"{at}/out").drop("batch", "first_seed")

@@ -6,24 +6,40 @@ were done, and a run takes what is new and ends (AvailableNow).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.config import Config
 from spanloom.operators import align, corpus, words
+from spanloom.sources.tables import dealt_out, ensure_checkpoint_dir
 
 
-def enrich_new(spark: SparkSession, source: str, ddl: str, verses: DataFrame, out: str, state: str, key: str = "transcript_id", files: int = 50, form: str = "parquet", cfg: Config = Config()) -> None:
-    """Raw spans of the new documents in ``source``, appended to ``out``; a batch that is repeated replaces its own rows."""
+def enrich_new(docs: DataFrame, verses: DataFrame, out: str, state: str, key: str = "transcript_id", cfg: Config = Config()) -> None:
+    """Raw spans of the new documents of the stream ``docs``, appended to ``out``; a batch that is repeated replaces its own rows."""
     passages = corpus.passages(verses)
 
     def write(batch: DataFrame, number: int) -> None:
-        arrays = words.word_arrays(batch, key, rules=cfg.rules)
+        arrays = words.word_arrays(dealt_out(batch, key), key, rules=cfg.rules)
         align.raw_matches(arrays, passages, cfg).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    docs = spark.readStream.schema(ddl).format(form).option("maxFilesPerTrigger", files).load(source)
-    q = docs.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
-    q.awaitTermination()
+    docs.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+
+
+def table_stream(spark: SparkSession, path: str, ddl: str, files: int = 50) -> DataFrame:
+    """A stream of the files of a parquet table that is a folder or a single file."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    r = spark.readStream.schema(ddl).format("parquet").option("maxFilesPerTrigger", files)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return r.load(path)
+    return r.option("pathGlobFilter", p.getName()).load(str(p.getParent()))
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for a stream's state and output, in the checkpoint folder that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
 
 
 def windowed_counts(events: DataFrame, ts: str, kind: str, width: str = "1 hour", late: str = "1 day") -> DataFrame:
@@ -32,13 +48,11 @@ def windowed_counts(events: DataFrame, ts: str, kind: str, width: str = "1 hour"
     return w.select(F.col("window.start").alias("window_start"), kind, "n", "total")
 
 
-def run_windowed(spark: SparkSession, source: str, ddl: str, out: str, state: str, **how: str) -> DataFrame:
-    """:func:`windowed_counts` over a stream of files until all are read.
+def run_windowed(events: DataFrame, out: str, state: str, **how: str) -> None:
+    """:func:`windowed_counts` over the stream ``events`` until all are read; ``out`` holds the latest counts."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
 
-    In complete windows only, as append mode gives them: the last window
-    stays open in the state until later events close it.
-    """
-    events = spark.readStream.schema(ddl).parquet(source)
-    q = windowed_counts(events, "ts", "event_type", **how).writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    q = windowed_counts(events, "ts", "event_type", **how).writeStream.outputMode("complete").foreachBatch(write)
+    q.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
