@@ -12,7 +12,8 @@ into mixed lines as well, so that changes of language are learned too.
 
 Defined results: null and empty texts, and texts and lines without letters,
 have no row; ties go to the language with the larger sum of probabilities;
-a text of any length is read whole; repeated rows give the same rows again.
+a text of any length is read whole; repeated rows give the same rows again;
+without labelled samples there are no rows.
 """
 
 from __future__ import annotations
@@ -80,6 +81,9 @@ class Model:
         rng = np.random.default_rng(seed)
         plain = [([w for p in text.split() if (w := fold(p))], number[lang]) for lang, text in samples]
         plain = [(w, x) for w, x in plain if w]
+        if not plain:
+            self.langs = []
+            return
         chains = [(w, [x] * len(w)) for w, x in plain]
         for w, x in plain:  # mixed lines: a part of each sample inside another one
             o, y = plain[int(rng.integers(len(plain)))]
@@ -198,7 +202,11 @@ def languages(df: DataFrame, key: str, text: str, label: str, samples: DataFrame
     (``mixed``) also has a row for each of its lines with letters, numbered
     from 1. ``agrees`` says whether the label stands for the language.
     """
-    sent = df.sparkSession.sparkContext.broadcast(train(samples, sample_key, "lang", "text"))
+    schema = f"_key {dict(df.dtypes)[key]}, line_no int, lang string, confidence double, mixed boolean, agrees boolean"
+    fitted = train(samples, sample_key, "lang", "text")
+    if not fitted.langs:
+        return df.sparkSession.createDataFrame([], schema).withColumnRenamed("_key", key)
+    sent = df.sparkSession.sparkContext.broadcast(fitted)
     names = ["_key", "line_no", "lang", "confidence", "mixed", "agrees"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,4 +248,4 @@ def languages(df: DataFrame, key: str, text: str, label: str, samples: DataFrame
                 yield pa.record_batch([b.column(0).take(arrays[0]), *arrays[1:]], names=names)
 
     src = df.select(key, text, label).where(F.length(text) > 0)
-    return src.mapInArrow(run, f"_key {dict(df.dtypes)[key]}, line_no int, lang string, confidence double, mixed boolean, agrees boolean").withColumnRenamed("_key", key)
+    return src.mapInArrow(run, schema).withColumnRenamed("_key", key)
