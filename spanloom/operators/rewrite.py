@@ -44,7 +44,5 @@ def rollup(matches: DataFrame, key: str, cross: str) -> DataFrame:
 def run_stats(rollups: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """One row over all documents; ``errors`` has doc and error."""
     s = rollups.agg(F.count("*").alias("ok"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total_matches", "accepted", "review", "cross_group")])
-    if errors is None:
-        return s.select((F.col("ok")).alias("documents"), "ok", F.lit(0).cast("bigint").alias("failed"), "total_matches", "accepted", "review", "cross_group")
-    e = errors.agg(F.count("*").alias("failed"))
-    return s.join(e).select((F.col("ok") + F.col("failed")).alias("documents"), "ok", "failed", "total_matches", "accepted", "review", "cross_group")
+    failed = F.lit(0).cast("bigint") if errors is None else errors.agg(F.count("*")).scalar()
+    return s.select((F.col("ok") + failed).alias("documents"), "ok", failed.alias("failed"), "total_matches", "accepted", "review", "cross_group")

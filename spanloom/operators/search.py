@@ -24,12 +24,12 @@ def bm25(passages: DataFrame, key: str, tokens: str, queries: DataFrame, query:
     """query, key, score, rank: the top ``k`` of each query."""
     tf = terms(passages, key, tokens)
     size = tf.groupBy(key).agg(F.first("dl").alias("dl")).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    df = tf.groupBy("token").agg(F.count("*").alias("df")).join(size)
-    idf = df.withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
-    mean = idf.agg(F.avg("raw").alias("mean"))
-    idf = idf.join(mean).select("token", "avgdl", F.when(F.col("raw") < 0, F.lit(EPSILON) * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
+    n, avgdl = size.select("n").scalar(), size.select("avgdl").scalar()
+    raw = tf.groupBy("token").agg(F.count("*").alias("df")).select("token", (F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
+    mean = raw.agg(F.avg("raw")).scalar()
+    idf = raw.select("token", F.when(F.col("raw") < 0, F.lit(EPSILON) * mean).otherwise(F.col("raw")).alias("idf"))
     q = queries.select(query, F.explode(words).alias("token")).groupBy(query, "token").agg(F.count("*").alias("qf"))
-    weight = F.col("qf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    weight = F.col("qf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl))
     score = q.join(idf, "token").join(tf, "token").groupBy(query, key).agg(F.sum(weight).alias("score")).where("score > 0")
     top = Window.partitionBy(query).orderBy(F.col("score").desc(), F.col(key))
     return score.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k)

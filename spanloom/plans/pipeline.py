@@ -49,10 +49,11 @@ def enrich(docs: DataFrame, verses: DataFrame, key: str = "transcript_id", prima
     table. The word arrays and the raw spans are written once, as several
     later steps read them.
     """
-    arrays = cut(words.word_arrays(docs, key, keep=(primary,), rules=cfg.rules))
+    arrays = cut(words.word_arrays(docs, key, rules=cfg.rules))
+    own = docs.select(F.col(key).alias("doc"), F.col(primary).alias("primary_no"))
     passages = corpus.passages(verses)
     raw = cut(align.raw_matches(arrays, passages, cfg))
-    verified = decide.decide(raw, passages, arrays.select("doc", F.col(primary).alias("primary_no")), cfg)
+    verified = decide.decide(raw, passages, own, cfg)
     kept = verified.where("status <> 'rejected'").withColumn("cross_group", F.coalesce(F.col("group_no") != F.col("primary_no"), F.lit(True)))
     found = cut(recover.recover(arrays, kept, passages, cfg))
     found = found.join(passages.select("verse_id", "group_no", F.col("item_no").alias("item")), "verse_id")
@@ -64,7 +65,7 @@ def enrich(docs: DataFrame, verses: DataFrame, key: str = "transcript_id", prima
     texts = rewrite.rewrite(arrays, matches.select("doc", "word_start", "word_end", F.col("verse_id").alias("ord"), "status", put.alias("put")))
     if not cfg.write_text:
         texts = texts.limit(0)
-    rollups = arrays.select("doc").join(rewrite.rollup(matches, "doc", "is_cross_surah"), "doc", "left").na.fill(0)
+    rollups = own.select("doc").join(rewrite.rollup(matches, "doc", "is_cross_surah"), "doc", "left").na.fill(0)
     return Enriched(arrays, matches, texts, rollups, rewrite.run_stats(rollups))
 
 
