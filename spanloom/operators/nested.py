@@ -131,11 +131,11 @@ def parse_documents(df: DataFrame, key: str, body: str, lists: dict[str, dict[st
 
 
 def _children(text: Column, kids: dict[str, str], leaf: str) -> Column:
+    if not kids:
+        return _array_of(text, f"struct<{leaf}>")
     scalars = [f.split(":")[0].strip(" `") for f in leaf.split(",") if f.strip()]
     fields = ", ".join([*([leaf] if leaf else []), *[f"`{c}`: string" for c in kids]])
     arr = _array_of(text, f"struct<{fields}>")
-    if not kids:
-        return arr
 
     def typed(s: Column) -> Column:
         return F.when(s.isNotNull(), F.struct(*[s[x].alias(x) for x in scalars], *[_array_of(s[c], t.removeprefix("array<").removesuffix(">")).alias(c) for c, t in kids.items()]))

@@ -62,3 +62,12 @@ def test_offsets_of_sliced_and_null_lists():
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "record_id long, body string").write.parquet(f"{tmp_path}/raw_records.parquet")
     assert general.p4_found(spark, str(tmp_path)).count() == 0
+
+
+def test_typed_children(spark, tmp_path):
+    body = {"segments": [{"id": "7", "start": 1, "text": 5, "end": "x"}, None, {"text": "t", "words": [{}]}], "matches": {"verse_id": "12", "is_cross_surah": True, "confidence": 1}}
+    spark.createDataFrame([(1, json.dumps(body)), (2, None)], "record_id long, body string").write.parquet(f"{tmp_path}/raw_records.parquet")
+    s = sorted(general.p4_segments(spark, str(tmp_path)).collect())
+    assert [(r.record_id, r.parent_pos, r.pos, r.id, r.start, r.end, r.text) for r in s] == [(1, -1, 0, 7, 1.0, None, "5"), (1, -1, 2, None, None, None, "t")]
+    m = general.p4_matches(spark, str(tmp_path)).first()
+    assert (m.pos, m.verse_id, m.is_cross_surah, m.confidence, m.surah) == (0, 12, True, 1.0, None)
