@@ -98,16 +98,17 @@ FROM w WHERE w IS NOT NULL
 """
 
 
-def _timed(segments: Column) -> Column:
-    """Valid segments as (lo, id, hi) in milliseconds."""
-    t = F.transform(segments, lambda s: F.struct(intervals.whole(s["start"], 1000).alias("lo"), s["id"].alias("id"), intervals.whole(s["end"], 1000).alias("hi")))
+def _timed(segments: str) -> Column:
+    """Valid segments as (lo, id, hi) in milliseconds; of the segments only these three fields are read."""
+    parts = F.arrays_zip(*[F.col(f"{segments}.{n}").alias(n) for n in ("id", "start", "end")])
+    t = F.transform(parts, lambda s: F.struct(intervals.whole(s["start"], 1000).alias("lo"), s["id"].alias("id"), intervals.whole(s["end"], 1000).alias("hi")))
     return F.filter(t, lambda s: s["lo"] <= s["hi"])
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Pieces of at most 60 s of every longer transcript, one segment of overlap."""
     t = table(spark, d, "transcripts")
-    out = pieces.split_sequence(t, "transcript_id", _timed(F.col("segments")), 60_000)
+    out = pieces.split_sequence(t, "transcript_id", _timed("segments"), 60_000)
     return out.select("transcript_id", "piece_no", F.col("first_part").alias("first_segment"), F.col("last_part").alias("last_segment"))
 
 
