@@ -16,26 +16,27 @@ from spanloom.config import Config
 from spanloom.functions import scores
 
 
-def greedy_disjoint(spans: DataFrame, key: str, lo: str, hi: str, rank: Sequence[Column], row_id: str) -> DataFrame:
+def greedy_disjoint(spans: DataFrame, key: str, lo: str, hi: str, rank: Sequence[Column], row_id: str, carry: Sequence[str] = ()) -> DataFrame:
     """The spans taken when each key's spans are tried in order of ``rank`` (ascending) and kept if they overlap none kept before.
 
-    Columns: the key, ``row_id``. An order-dependent fold, so a key's spans
-    meet in one task, but only their bounds and rank do.
+    Columns: the key, ``row_id``, ``carry``. An order-dependent fold, so a
+    key's spans meet in one task.
     """
-    item = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], F.col(lo).cast("long").alias("lo"), F.col(hi).cast("long").alias("hi"), F.col(row_id).alias("id"))
-    kind = dict(spans.select(row_id).dtypes)[row_id]
-    taken = F.array().cast(f"array<struct<lo:bigint,hi:bigint,id:{kind}>>")
+    row = F.struct(F.col(lo).cast("long").alias("lo"), F.col(hi).cast("long").alias("hi"), F.struct(row_id, *carry).alias("row"))
+    item = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], row.alias("x"))
+    valid = spans.where(F.col(lo) <= F.col(hi))
+    taken = F.array().cast(f"array<{valid.select(row.alias('x')).schema['x'].dataType.simpleString()}>")
 
-    def step(s: Column, x: Column) -> Column:
-        clash = F.exists(s, lambda t: (t["lo"] <= x["hi"]) & (x["lo"] <= t["hi"]))
-        return F.when(clash, s).otherwise(F.array_append(s, F.struct(x["lo"].alias("lo"), x["hi"].alias("hi"), x["id"].alias("id"))))
+    def step(s: Column, e: Column) -> Column:
+        clash = F.exists(s, lambda t: (t["lo"] <= e["x"]["hi"]) & (e["x"]["lo"] <= t["hi"]))
+        return F.when(clash, s).otherwise(F.array_append(s, e["x"]))
 
-    per = spans.where(F.col(lo) <= F.col(hi)).groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.collect_list(item)).alias("a"))
-    return per.select(F.col("_k").alias(key), F.explode(F.aggregate("a", taken, step)).alias("t")).select(key, F.col("t.id").alias(row_id))
+    per = valid.groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.collect_list(item)).alias("a"))
+    return per.select(F.col("_k").alias(key), F.explode(F.aggregate("a", taken, step)).alias("t")).select(key, "t.row.*")
 
 
-def competitors(chosen: DataFrame, raw: DataFrame, key: str, same_span: float, delta: float, bucket: int = 32) -> DataFrame:
-    """Pairs (id, other) of a chosen span and a raw one of another passage over about the same words.
+def competitors(chosen: DataFrame, raw: DataFrame, key: str, same_span: float, delta: float, bucket: int = 32, carry: Sequence[str] = ()) -> DataFrame:
+    """Pairs (id, other) of a chosen span and a raw one of another passage over about the same words, with ``carry`` of the raw one.
 
     Both have the key, id, verse_id, lo, hi, score. An equi-join on the
     key and a bucket of places: spans that share 60 % have starts that are
@@ -45,9 +46,9 @@ def competitors(chosen: DataFrame, raw: DataFrame, key: str, same_span: float, d
     reach = F.ceil((F.col("hi") - F.col("lo") + 1) * F.lit((1 - same_span) / same_span + 0.01)).cast("int")
     c = chosen.select(key, F.col("id"), F.col("verse_id").alias("v"), F.col("lo").alias("lo"), F.col("hi").alias("hi"), F.col("score").alias("s"))
     c = c.withColumn("b", F.explode(F.sequence(F.floor((F.col("lo") - reach) / bucket).cast("int"), F.floor((F.col("lo") + reach) / bucket).cast("int"))))
-    r = raw.select(key, F.col("id").alias("other"), F.col("verse_id").alias("rv"), F.col("lo").alias("rlo"), F.col("hi").alias("rhi"), F.col("score").alias("rs"), F.floor(F.col("lo") / bucket).cast("int").alias("b"))
+    r = raw.select(key, F.col("id").alias("other"), F.col("verse_id").alias("rv"), F.col("lo").alias("rlo"), F.col("hi").alias("rhi"), F.col("score").alias("rs"), F.floor(F.col("lo") / bucket).cast("int").alias("b"), *carry)
     near = (F.col("rv") != F.col("v")) & (F.abs(F.col("rs") - F.col("s")) <= delta) & (F.col("rlo") <= F.col("hi")) & (F.col("lo") <= F.col("rhi"))
-    return c.join(r, [key, "b"]).where(near).where(scores.jaccard(F.col("lo"), F.col("hi"), F.col("rlo"), F.col("rhi")) >= same_span).select(key, "id", "other")
+    return c.join(r, [key, "b"]).where(near).where(scores.jaccard(F.col("lo"), F.col("hi"), F.col("rlo"), F.col("rhi")) >= same_span).select(key, "id", "other", *carry)
 
 
 def decide(raw: DataFrame, passages: DataFrame, primary: DataFrame, cfg: Config = Config()) -> DataFrame:
@@ -60,9 +61,9 @@ def decide(raw: DataFrame, passages: DataFrame, primary: DataFrame, cfg: Config
     scored = scored.withColumn("own", own).withColumn("conf", F.when(own, F.least(F.lit(1.0), F.col("conf") + cfg.primary_boost)).otherwise(F.col("conf")))
     scored = scored.withColumn("id", F.struct("first_seed", "verse_id", "word_start")).withColumn("lo", F.col("word_start")).withColumn("hi", F.col("word_end"))
     rank = [-F.col("conf"), -F.col("matched"), -F.col("score"), F.col("first_seed"), F.col("verse_id"), F.col("word_start")]
-    kept = scored.join(greedy_disjoint(scored, "doc", "lo", "hi", rank, "id"), ["doc", "id"], "left_semi")
-    pairs = competitors(kept, scored, "doc", cfg.same_span, cfg.ambiguity_delta)
-    rivals = pairs.join(scored.select("doc", F.col("id").alias("other"), F.col("own").alias("rival_own")), ["doc", "other"]).groupBy("doc", "id").agg(F.max("rival_own").alias("rival_own"))
+    kept = greedy_disjoint(scored, "doc", "lo", "hi", rank, "id", [c for c in scored.columns if c not in ("doc", "id")])
+    rivals = competitors(kept, scored.withColumn("rival_own", F.col("own")), "doc", cfg.same_span, cfg.ambiguity_delta, carry=["rival_own"])
+    rivals = rivals.groupBy("doc", "id").agg(F.max("rival_own").alias("rival_own"))
     out = kept.join(rivals, ["doc", "id"], "left")
     unclear = F.col("rival_own").isNotNull() & ~(F.col("own") & ~F.col("rival_own"))
     conf = F.when(unclear, F.greatest(F.lit(0.0), F.col("conf") - cfg.ambiguity_penalty)).otherwise(F.col("conf"))

@@ -18,6 +18,9 @@ from spanloom.schema import SEGMENT
 from spanloom.sources.tables import dealt_out, table
 from spanloom.streaming import incremental
 
+#: Of the transcripts, what word streams are made of.
+SPOKEN = "transcript_id bigint, surah_order int, segments array<struct<id:int,start:double,end:double,text:string,words:array<struct<word:string,start:double,end:double>>>>"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -89,7 +92,7 @@ def _arrays(spark: SparkSession, d: str, *keep: str) -> DataFrame:
 
 
 def _transcripts(spark: SparkSession, d: str, *cols: str) -> DataFrame:
-    return dealt_out(table(spark, d, "transcripts").select("transcript_id", *cols), "transcript_id")
+    return dealt_out(table(spark, d, "transcripts", SPOKEN).select("transcript_id", *cols), "transcript_id")
 
 
 def _passages(spark: SparkSession, d: str) -> DataFrame:

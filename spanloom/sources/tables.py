@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from spanloom.sources.package import ship
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, ddl: str | None = None) -> DataFrame:
+    """A table; with ``ddl`` only the columns and nested fields named there are read."""
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read if ddl is None else spark.read.schema(ddl)
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
