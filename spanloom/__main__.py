@@ -18,12 +18,13 @@ from spanloom.operators import catalog, corpus, evaluate, manifest
 from spanloom.plans import pipeline
 from spanloom.sources import files
 from spanloom.sources.package import ship
+from spanloom.sources.tables import cut
 
 
 def _docs(spark: SparkSession, path: str):
-    """Readable transcripts with a key, and the unreadable ones with their error."""
-    d = files.transcripts(spark, path)
-    bad = d.where("_corrupt_record IS NOT NULL AND segments IS NULL").select(F.col("path").alias("doc"), F.lit("not a JSON document").alias("error"))
+    """Readable transcripts with a key, and the unreadable ones with their error; the documents are parsed once."""
+    d = cut(files.transcripts(spark, path))
+    bad = d.where("_corrupt_record IS NOT NULL").select(F.col("path").alias("doc"), F.lit("not a JSON document").alias("error"))
     good = d.where("_corrupt_record IS NULL").drop("_corrupt_record").withColumn("transcript_id", F.xxhash64("path"))
     return good, bad
 

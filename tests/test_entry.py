@@ -15,11 +15,11 @@ ORACLES = entry.oracle_sql()
 
 def plain(df: pd.DataFrame) -> pd.DataFrame:
     def value(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+        if pd.api.types.is_scalar(x) and pd.isna(x):
             return "-"
-        if isinstance(x, float):
-            return str(round(x, 9))
-        return str(int(x)) if hasattr(x, "dtype") and x.dtype.kind in "iu" else str(x)
+        if isinstance(x, bool) or not pd.api.types.is_number(x):
+            return str(x)
+        return str(round(float(x), 9))
 
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
