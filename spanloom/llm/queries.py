@@ -24,13 +24,14 @@ def p2_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_measures(spark: SparkSession, d: str) -> DataFrame:
-    """Fertility, entropy and repetition of every segment and transcript."""
+    """Fertility, entropy and the share of repeated words of every segment and transcript."""
     return repetition.measure(table(spark, d, "transcripts"), "transcript_id", "segments")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Segments and transcripts of at least 8 words, half of them repeated."""
-    return p3_measures(spark, d).where("exact AND n_words >= 8 AND 2 * n_repeated >= n_words").select("transcript_id", "segment_id")
+    m = repetition.measure(table(spark, d, "transcripts"), "transcript_id", "segments", bounded=True)
+    return m.where("exact AND n_words >= 8 AND 2 * n_repeated >= n_words").select("transcript_id", "segment_id")
 
 
 def _looks(spark: SparkSession, d: str) -> DataFrame:

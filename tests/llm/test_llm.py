@@ -78,6 +78,16 @@ def test_repetition(spark):
     assert out[1, -1].n_words == 12
 
 
+def test_every_text_has_its_share_of_repeated_words(spark):
+    seg = "array<struct<id:int,text:string,avg_logprob:double>>"
+    texts = ["a b c a b c", "p q r s t u v w p q r x y z k l m n o i", "one two"]
+    df = spark.createDataFrame([(1, list(zip(range(3), texts, [0.0] * 3)))], f"transcript_id long, segments {seg}")
+    got = {r.segment_id: (r.n_words, r.n_repeated, r.share, r.exact) for r in repetition.measure(df, "transcript_id", "segments").collect()}
+    assert got == {0: (6, 3, 0.5, True), 1: (20, 3, 0.15, True), 2: (2, 0, 0.0, True), -1: (28, 6, 6 / 28, True)}
+    m, words = repetition.Measure(bpe.DEFAULT), [t.split() for t in (*texts, "a b c d e " * 3)]
+    assert [x[1] for x in m.all(words, 8, 0.5, True)] == [-1, -1, -1, 10]
+
+
 @pytest.mark.parametrize("text, wider, odd", [
     ("باب دار", False, False), ("باب دار", False, True), ("با​ب", False, True), ("ﺑﺎﺏ", False, True), ("آ", False, True), ("کتاب", False, True), ("کتاب می‌شود", True, False), ("می‌شود", False, True),
     ("abc, 1!", False, False), ("аbc", False, True), ("ａｂｃ", False, True), ("", False, False), ("﻿bab", True, True), ("😀", False, False), ("مُدَّ", False, not unicodedata.is_normalized("NFC", "مُدَّ")),
