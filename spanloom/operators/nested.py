@@ -106,16 +106,9 @@ def _only(text: Column, of: str) -> Column:
     return F.when(F.size(a) == 1, a[0])
 
 
-def parse_documents(df: DataFrame, key: str, body: str, lists: dict[str, dict[str, str]], leaf: dict[str, str], envelope: str = "payload", depth: int = 3) -> DataFrame:
-    """Columns: the key and ``doc``, a struct of lists of structs of lists.
-
-    ``lists`` names the document's lists and, for each, its own child lists
-    with their type array<struct<...>>; ``leaf`` gives the scalar fields of each list's
-    elements as a DDL fragment. ``depth`` layers of envelope or
-    quoting are opened.
-    """
-    names = list(lists)
-    top = "struct<" + ", ".join(f"`{n}`: string" for n in (envelope, *names)) + ">"
+def _opened(df: DataFrame, key: str, body: str, names: Sequence[str], fields: Sequence[str], envelope: str, depth: int) -> DataFrame:
+    """Columns: _key and _got, the lists ``names`` and the ``fields`` of the document as strings; null where there is no document."""
+    top = "struct<" + ", ".join(f"`{n}`: string" for n in (envelope, *names, *fields)) + ">"
     out = df.select(F.col(key).alias("_key"), F.col(body).alias("_text"), F.lit(None).cast(top).alias("_got"))
     for _ in range(depth):
         quoted = F.regexp_like("_text", F.lit(r"\A\s*\""))
@@ -126,6 +119,28 @@ def parse_documents(df: DataFrame, key: str, body: str, lists: dict[str, dict[st
             wrapped = wrapped & F.col("_doc")[n].isNull()
         again = F.when(wrapped, F.col("_doc")[envelope]).when(quoted, F.col("_text"))
         out = out.withColumn("_got", F.coalesce("_got", F.when(~wrapped, F.col("_doc")))).withColumn("_text", again)
+    return out
+
+
+def parent_table(df: DataFrame, key: str, body: str, lists: Sequence[str], fields: Sequence[str], envelope: str = "payload", depth: int = 3) -> DataFrame:
+    """The documents' own ``fields`` as strings, a row for each body that holds a document.
+
+    The envelope is opened as in :func:`parse_documents` with these ``lists``.
+    """
+    got = _opened(df, key, body, lists, fields, envelope, depth).where("_got IS NOT NULL")
+    return got.select(F.col("_key").alias(key), *[F.col("_got")[n].alias(n) for n in fields])
+
+
+def parse_documents(df: DataFrame, key: str, body: str, lists: dict[str, dict[str, str]], leaf: dict[str, str], envelope: str = "payload", depth: int = 3) -> DataFrame:
+    """Columns: the key and ``doc``, a struct of lists of structs of lists.
+
+    ``lists`` names the document's lists and, for each, its own child lists
+    with their type array<struct<...>>; ``leaf`` gives the scalar fields of each list's
+    elements as a DDL fragment. ``depth`` layers of envelope or
+    quoting are opened.
+    """
+    names = list(lists)
+    out = _opened(df, key, body, names, (), envelope, depth)
     cols = [_children(F.col("_got")[n], lists[n], leaf.get(n, "")).alias(n) for n in names]
     return out.select(F.col("_key").alias(key), F.struct(*cols).alias("doc"))
 

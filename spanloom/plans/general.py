@@ -60,27 +60,50 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _typed(df: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     """Leaves of text bodies in their types; what does not fit is null."""
-    return df.select("record_id", "parent_pos", "pos", *[F.col(n).try_cast(t).alias(n) for n, t in fields])
+    keys = [c for c in ("record_id", "parent_pos", "pos") if c in df.columns]
+    return df.select(*keys, *[F.col(n).try_cast(t).alias(n) for n, t in fields])
 
 
-SEGMENT_FIELDS = [("id", "int"), ("start", "double"), ("end", "double"), ("text", "string"), ("avg_logprob", "double"), ("no_speech_prob", "double")]
+DOC_FIELDS = [("schema_version", "string"), ("surah", "string"), ("surah_order", "int"), ("episode", "int"), ("source_audio", "string"), ("transcribed_at", "string"), ("model", "string"), ("language", "string"), ("language_probability", "double"), ("duration_seconds", "double"), ("source_transcript", "string"), ("primary_surah_no", "int"), ("total_matches", "int"), ("accepted", "int"), ("review", "int"), ("cross_surah", "int")]
+SEGMENT_FIELDS = [("id", "int"), ("start", "double"), ("end", "double"), ("text", "string"), ("avg_logprob", "double"), ("no_speech_prob", "double"), ("enriched_text", "string")]
+WORD_FIELDS = [("word", "string"), ("start", "double"), ("end", "double"), ("probability", "double")]
 MATCH_FIELDS = [("surah", "string"), ("surah_no", "int"), ("ayah", "int"), ("ayah_end", "int"), ("verse_id", "int"), ("confidence", "double"), ("status", "string"), ("start", "double"), ("end", "double"), ("word_start", "int"), ("word_end", "int"), ("transcript_text", "string"), ("canonical_quoted", "string"), ("fuzz_score", "double"), ("coverage", "double"), ("is_cross_surah", "boolean"), ("chain_id", "int")]
 
 
-def _children(spark: SparkSession, d: str, name: str, fields: list[tuple[str, str]]) -> DataFrame:
+def _children(spark: SparkSession, d: str, path: list[str], fields: list[tuple[str, str]]) -> DataFrame:
     leaf = ", ".join(f"`{n}`: string" for n, _ in fields)
-    docs = nested.parse_documents(table(spark, d, "raw_records"), "record_id", "body", {"segments": {}, "matches": {}}, {"segments": "id: string", "matches": "status: string"} | {name: leaf})
-    return _typed(nested.child_table(docs, "record_id", "doc", [name], [(n, "string") for n, _ in fields]), fields)
+    lists, leaves = {"segments": {}, "matches": {}}, {"segments": "id: string", "matches": "status: string"}
+    if len(path) == 2:
+        lists[path[0]] = {path[1]: f"array<struct<{leaf}>>"}
+    else:
+        leaves[path[0]] = leaf
+    docs = nested.parse_documents(table(spark, d, "raw_records"), "record_id", "body", lists, leaves)
+    return _typed(nested.child_table(docs, "record_id", "doc", path, [(n, "string") for n, _ in fields]), fields)
+
+
+def p4_parents(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of all JSON bodies with their own fields: what record_id in the other tables points to."""
+    return _typed(nested.parent_table(table(spark, d, "raw_records"), "record_id", "body", ["segments", "matches"], [n for n, _ in DOC_FIELDS]), DOC_FIELDS)
 
 
 def p4_segments(spark: SparkSession, d: str) -> DataFrame:
     """The segments of all JSON bodies as a flat typed table."""
-    return _children(spark, d, "segments", SEGMENT_FIELDS)
+    return _children(spark, d, ["segments"], SEGMENT_FIELDS)
 
 
 def p4_matches(spark: SparkSession, d: str) -> DataFrame:
     """The matches of all JSON bodies as a flat typed table."""
-    return _children(spark, d, "matches", MATCH_FIELDS)
+    return _children(spark, d, ["matches"], MATCH_FIELDS)
+
+
+def p4_segment_words(spark: SparkSession, d: str) -> DataFrame:
+    """The words of the segments of all JSON bodies as a flat typed table."""
+    return _children(spark, d, ["segments", "words"], WORD_FIELDS)
+
+
+def p4_segment_matches(spark: SparkSession, d: str) -> DataFrame:
+    """The matches of the segments of all JSON bodies as a flat typed table."""
+    return _children(spark, d, ["segments", "matches"], MATCH_FIELDS)
 
 
 def p4_words(spark: SparkSession, d: str) -> DataFrame:
@@ -169,5 +192,5 @@ SELECT n.primary_surah, n_rows, n_values, n_distinct, m.verse_id AS mode, m.w AS
 FROM n LEFT JOIN m ON m.primary_surah IS NOT DISTINCT FROM n.primary_surah AND m.r = 1
 """
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found, "p4_segments": p4_segments, "p4_matches": p4_matches, "p4_words": p4_words, "p6_found": p6_found, "p6_texts": p6_texts, "p7_found": p7_found, "p7_matches": p7_matches}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found, "p4_parents": p4_parents, "p4_segment_words": p4_segment_words, "p4_segment_matches": p4_segment_matches, "p4_segments": p4_segments, "p4_matches": p4_matches, "p4_words": p4_words, "p6_found": p6_found, "p6_texts": p6_texts, "p7_found": p7_found, "p7_matches": p7_matches}
 ORACLES: dict[str, str] = {"p1_found": P1_SQL, "p4_words": P4_WORDS_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL, "p7_matches": P7_MATCHES_SQL}

@@ -71,3 +71,16 @@ def test_typed_children(spark, tmp_path):
     assert [(r.record_id, r.parent_pos, r.pos, r.id, r.start, r.end, r.text) for r in s] == [(1, -1, 0, 7, 1.0, None, "5"), (1, -1, 2, None, None, None, "t")]
     m = general.p4_matches(spark, str(tmp_path)).first()
     assert (m.pos, m.verse_id, m.is_cross_surah, m.confidence, m.surah) == (0, 12, True, 1.0, None)
+
+
+def test_children_of_segments_and_their_documents(spark, tmp_path):
+    match = {"verse_id": "12", "status": "accepted", "confidence": 0.5}
+    seg = {"id": 1, "enriched_text": "e", "words": [{"word": "a", "start": 1, "probability": "x"}, None, {"word": None}], "matches": match}
+    doc = {"surah": "s", "episode": "3", "total_matches": 1, "segments": [None, seg, 5], "matches": None}
+    bodies = [json.dumps(doc), json.dumps(json.dumps({"payload": doc})), json.dumps({"payload": 5}), json.dumps(json.dumps("x")), "{}", "[]", "[{}]", "5", "null", '"x"', "", "{", '{"a": 1} x', None, json.dumps({"payload": json.dumps({"surah": "t", "matches": {}})})]
+    spark.createDataFrame(list(enumerate(bodies)), "record_id long, body string").write.parquet(f"{tmp_path}/raw_records.parquet")
+    rows = lambda q, *names: sorted((tuple(r[n] for n in names) for r in q(spark, str(tmp_path)).collect()), key=repr)
+    assert rows(general.p4_segment_words, "record_id", "parent_pos", "pos", "word", "start", "end", "probability") == [(k, 1, i, w, s, None, None) for k in (0, 1) for i, w, s in ((0, "a", 1.0), (2, None, None))]
+    assert rows(general.p4_segment_matches, "record_id", "parent_pos", "pos", "verse_id", "status", "confidence", "surah") == [(k, 1, 0, 12, "accepted", 0.5, None) for k in (0, 1)]
+    assert rows(general.p4_segments, "record_id", "pos", "id", "enriched_text") == [(0, 1, 1, "e"), (1, 1, 1, "e")]
+    assert rows(general.p4_parents, "record_id", "surah", "episode", "total_matches") == [(0, "s", 3, 1), (1, "s", 3, 1), (14, "t", None, None), (4, None, None, None)]
