@@ -61,12 +61,13 @@ BOUNDARIES = (r"\n\s{0,8}\n", r"\n", r"[.!?؟۔]\s{1,8}", r"[,;:،؛]\s{1,8}", r
 def piece_pattern(limit: int, least: float = 0.5) -> str:
     """Alternatives, strongest boundary first, that take up to ``limit`` characters; then any characters.
 
-    A boundary counts only in the part of the piece beyond ``least`` of the
-    limit, so that a strong one near the start does not make tiny pieces. The
+    A boundary counts first only in the part of the piece beyond ``least`` of the
+    limit, so that a strong one near the start does not make tiny pieces. Where
+    there is none, the last white space before that is taken. The
     rest of the text, if it fits, is a piece.
     """
     low = max(1, int(limit * least))
-    tries = [rf".{{1,{limit}}}\z", *[rf".{{{low},{limit}}}(?<={b})" for b in BOUNDARIES], rf".{{1,{limit}}}"]
+    tries = [rf".{{1,{limit}}}\z", *[rf".{{{low},{limit}}}(?<={b})" for b in BOUNDARIES], rf".{{1,{limit}}}(?<={BOUNDARIES[-1]})", rf".{{1,{limit}}}"]
     return "(?s)" + "|".join(f"(?:{t})" for t in tries)
 
 

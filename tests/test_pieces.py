@@ -53,6 +53,12 @@ def test_texts_keep_everything_within_the_limit(spark):
         assert back == {i: t for i, t in enumerate(texts) if t}
 
 
+def test_an_early_boundary_goes_before_a_cut_inside_a_run(spark):
+    texts = ["go to " + "x" * 97 + " end", "a b " + "y" * 250]
+    got = sorted(pieces.split_text(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "id", "text", 100).collect())
+    assert [(r.id, r.piece) for r in got] == [(0, "go to "), (0, "x" * 97 + " "), (0, "end"), (1, "a b "), (1, "y" * 100), (1, "y" * 100), (1, "y" * 50)]
+
+
 def test_strong_boundaries_first(spark):
     text = "a" * 60 + ".\n\n" + "b" * 20 + ". " + "c" * 40
     got = [r.piece for r in sorted(pieces.split_text(spark.createDataFrame([(1, text)], "id int, text string"), "id", "text", 100).collect())]
