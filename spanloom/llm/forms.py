@@ -24,10 +24,15 @@ LATIN_LOOKS = {
     "А": "A", "В": "B", "Е": "E", "З": "3", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ѕ": "S", "І": "I", "Ј": "J",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "ԁ": "d", "һ": "h", "ԛ": "q", "ԝ": "w", "к": "k",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
+    "ѵ": "v", "Ѵ": "V", "Ӏ": "l", "ӏ": "l", "Ү": "Y", "ү": "y", "Ԍ": "G", "Ԛ": "Q", "Ԝ": "W",
+    "ɑ": "a", "ɡ": "g", "ɩ": "i", "ʋ": "v", "ᴄ": "c", "ᴏ": "o", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ꜱ": "s", "ʏ": "y", "ǀ": "l", "Ɩ": "l",
+    "օ": "o", "Օ": "O", "ս": "u", "Տ": "S", "Ս": "U", "Լ": "L", "հ": "h", "ո": "n", "ռ": "n", "ց": "g", "զ": "q", "գ": "q", "յ": "j", "ա": "w",
     "α": "a", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "υ": "u", "ϲ": "c", "ϳ": "j",
 }
 # Letters of other Arabic alphabets that look like one of Arabic.
-ARABIC_LOOKS = {"ی": "ي", "ے": "ي", "ې": "ي", "ک": "ك", "ڪ": "ك", "ہ": "ه", "ھ": "ه", "ە": "ه", "ۀ": "ه", "ۃ": "ة", "ۇ": "و", "ۆ": "و", "ں": "ن"}
+ARABIC_LOOKS = {"ی": "ي", "ے": "ي", "ې": "ي", "ک": "ك", "ڪ": "ك", "ہ": "ه", "ھ": "ه", "ە": "ه", "ۀ": "ه", "ۃ": "ة", "ۇ": "و", "ۆ": "و", "ں": "ن", "ٮ": "ب", "ڡ": "ف", "ٯ": "ق", "ۍ": "ي", "ٲ": "أ", "ٳ": "إ"}
+# The Persian digits look like the Arabic ones.
+ARABIC_LOOKS |= {chr(0x06F0 + i): chr(0x0660 + i) for i in range(10)}
 # Punctuation that looks like an ASCII sign.
 SIGN_LOOKS = {"‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "‘": "'", "’": "'", "‛": "'", "′": "'", "ʼ": "'", "“": '"', "”": '"', "‟": '"', "″": '"', "⁄": "/", "∕": "/", "∗": "*", "‚": ",", "․": ".", "꞉": ":", "∶": ":"}
 # The usual letters and joiners of Persian and Urdu besides the Arabic ones.

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.llm import bpe, forms, langid, leak, lookalikes, repetition, spans
+from spanloom.llm import bpe, forms, langid, leak, lookalikes, queries, repetition, spans
 
 
 def spans_by_hand(rows, n):
@@ -99,6 +99,17 @@ def test_odd_spellings(text, wider, odd):
     assert not forms.is_odd(form, keep) and forms.skeleton(form) == forms.skeleton(text)
 
 
+@pytest.mark.parametrize("signs", ["۰۱۲۳۴۵۶۷۸۹", "ٮڡٯۍٲٳ", "ɑɡɩʋᴄᴏᴠᴡᴢꜱʏǀƖ", "ѵѴӀӏҮүԌԚԜ", "օՕսՏՍԼհոռցզգյա"])
+def test_look_alikes_agree_with_the_sql(signs):
+    duckdb = pytest.importorskip("duckdb")
+    for ch in signs:
+        text = f"ab {ch} cd"
+        sql = duckdb.execute(f"SELECT nfc_normalize(?) <> ? OR regexp_matches(?, '{queries._class()}')", [text] * 3).fetchone()[0]
+        twin = forms.ordinary(text)
+        assert sql and forms.is_odd(text) and not forms.is_odd(twin) and forms.skeleton(text) == forms.skeleton(twin), hex(ord(ch))
+    assert not any(forms.is_odd(ch, forms.PERSIAN_URDU) for ch in "۰۱۲۳۴۵۶۷۸۹")
+
+
 def test_groups_of_one_look(spark):
     rows = [("بابي", False), ("بابی", False), ("بابي", False), ("دار", False), (None, False), ("بابي‏", True)]
     df = spark.createDataFrame(rows, "t string, w boolean")
