@@ -19,7 +19,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_share(spark: SparkSession, d: str) -> DataFrame:
-    """How many words of each text are shared, and the longest doubled length found elsewhere."""
+    """How many words of each text are shared, of how many, and the longest doubled length found elsewhere."""
     return spans.shared_share(texts.all_passages(spark, d), "transcript_id", 16)
 
 

@@ -80,7 +80,7 @@ def shared_spans(texts: DataFrame, owner: str, min_words: int = 16) -> DataFrame
 
 
 def shared_share(texts: DataFrame, owner: str, min_words: int = 16) -> DataFrame:
-    """Per text with something shared: n_shared words and level, the longest doubled length that still occurs elsewhere."""
+    """Per text that is not null: n_words, n_shared of them, their share, and level, the longest doubled length that still occurs elsewhere; 0 where nothing is shared."""
     level, windows = min_words, repeated_windows(texts, owner, min_words)
     covered = runs(windows, min_words).groupBy(*TEXT).agg(F.sum(F.col("last_word") - F.col("first_word") + 1).alias("n_shared"))
     levels = windows.select(*TEXT, F.lit(level).alias("level"))
@@ -92,4 +92,11 @@ def shared_share(texts: DataFrame, owner: str, min_words: int = 16) -> DataFrame
         levels = levels.unionByName(windows.select(*TEXT, F.lit(level).alias("level")))
     top = levels.groupBy(*TEXT).agg(F.max("level").alias("level"))
     same = [F.col(f"c.{n}").eqNullSafe(F.col(f"t.{n}")) for n in TEXT]
-    return covered.alias("c").join(top.alias("t"), same).select(F.col("c.field_name"), F.col("c.owner").alias(owner), F.col("c.item").alias("item_id"), "n_shared", "level")
+    shared = covered.alias("c").join(top.alias("t"), same).select("c.*", "t.level")
+    n = texts.where("text IS NOT NULL").select("field_name", F.col(owner).alias("owner"), F.col("item_id").alias("item"), F.size(words_of(F.col("text"))).alias("n"))
+    n = n.groupBy(*TEXT).agg(F.max("n").alias("n_words"))  # repeated rows count once
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"c.{c}")) for c in TEXT]
+    out = n.alias("n").join(shared.alias("c"), same, "left")
+    n_shared, level = F.coalesce("n_shared", F.lit(0).cast("long")).alias("n_shared"), F.coalesce("level", F.lit(0)).alias("level")
+    share = F.when(F.col("n_shared") > 0, F.col("n_shared") / F.col("n_words")).otherwise(0.0).alias("share")
+    return out.select(F.col("n.field_name"), F.col("n.owner").alias(owner), F.col("n.item").alias("item_id"), "n_words", n_shared, share, level)

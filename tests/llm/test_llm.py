@@ -49,6 +49,13 @@ def test_shared_spans(spark, n):
     assert spans.shared_spans(df.limit(0), "transcript_id", n).count() == 0
 
 
+def test_share_of_every_text(spark):
+    rows = [("x", 1, 1, "a b c d e"), ("x", 2, 1, "z a b c d"), ("y", 2, 2, "q"), ("x", 3, 1, ""), ("x", 3, 2, None), ("x", 1, 1, "a b c d e"), ("y", 4, None, "p q")]
+    df = spark.createDataFrame(rows, "field_name string, transcript_id long, item_id long, text string")
+    got = [(r.field_name, r.transcript_id, r.item_id, r.n_words, r.n_shared, r.share, r.level) for r in spans.shared_share(df, "transcript_id", 4).collect()]
+    assert sorted(got, key=repr) == [("x", 1, 1, 5, 4, 0.8, 4), ("x", 2, 1, 5, 4, 0.8, 4), ("x", 3, 1, 0, 0, 0.0, 0), ("y", 2, 2, 1, 0, 0.0, 0), ("y", 4, None, 2, 0, 0.0, 0)]
+
+
 def test_repetition(spark):
     rnd = random.Random(1)
 
