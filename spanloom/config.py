@@ -27,7 +27,7 @@ class NormRules:
 @dataclass(frozen=True)
 class Config:
     rules: NormRules = field(default_factory=NormRules)
-    bigram_df_cap: int = 50
+    bigram_df_cap: int | None = 50
     min_score: float = 78.0
     accept: float = 0.82
     review: float = 0.70
@@ -40,7 +40,7 @@ class Config:
     extend_score: float = 72.0
     recover_accept: float = 0.82
     max_chain: int = 12
-    max_pops: int = 5000
+    max_pops: int | None = 5000
     budget_base: int = 2
     keep_review: bool = True
     keep_repeats: bool = False

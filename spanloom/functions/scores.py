@@ -1,12 +1,9 @@
 """Scores of matches: kernels in Python for Arrow functions, and column expressions."""
 
-from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def lcs(a: str, b: str) -> int:
@@ -52,13 +49,6 @@ def alike(a: str, b: str) -> bool:
     return a == b or _alike(a, b)
 
 
-@F.pandas_udf(T.DoubleType())
-def indel_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """:func:`ratio` of two columns; null where either is."""
-    for a, b in pairs:
-        yield pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b)], dtype="float64")
-
-
 def length_factor(n: Column) -> Column:
     """Trust in a match by its number of words (fixed values)."""
     return F.when(n >= 5, 1.0).when(n == 4, 0.96).when(n == 3, 0.85).when(n == 2, 0.66).otherwise(0.40)
@@ -77,7 +67,7 @@ def confidence(score: Column, n: Column) -> Column:
 
 
 def coverage(matched: Column, of: Column) -> Column:
-    return F.when(of > 0, F.round(F.least(F.lit(1.0), matched / F.when(of > 0, of)), 4)).otherwise(F.lit(0.0))
+    return F.when(of > 0, F.bround(F.least(F.lit(1.0), matched / F.when(of > 0, of)), 4)).otherwise(F.lit(0.0))
 
 
 def overlap(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column) -> Column:

@@ -29,8 +29,8 @@ def nfc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
-def arabic(text: Column, rules: NormRules = NormRules()) -> Column:
-    """The Arabic profile: marks and tatweel dropped, letter variants unified, anything else a space."""
+def arabic(text: Column, rules: NormRules = NormRules(), keep: str = "") -> Column:
+    """The Arabic profile: marks and tatweel dropped, letter variants unified, anything else a space but for ``keep``."""
     t = F.coalesce(text, F.lit(""))
     if not rules.all_on():
         t = nfc(t)
@@ -51,7 +51,7 @@ def arabic(text: Column, rules: NormRules = NormRules()) -> Column:
         swaps.sort(key=lambda s: s[1] == "")
         t = F.translate(t, "".join(a for a, _ in swaps), "".join(b for _, b in swaps))
     if rules.letters_only:
-        t = F.regexp_replace(t, NOT_LETTERS, " ")
+        t = F.regexp_replace(t, NOT_LETTERS.replace(" ]", f" {keep}]"), " ")
     return F.trim(F.regexp_replace(plain_spaces(t), " {2,}", " "))
 
 
@@ -60,11 +60,6 @@ def plain_spaces(text: Column) -> Column:
     return F.translate(text, SPACES, " " * len(SPACES))
 
 
-def latin(text: Column) -> Column:
-    """Lower case; anything but letters and digits is a space."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-
-
 def tokens(normal: Column) -> Column:
     """Words of a normalized text."""
     return F.filter(F.split(normal, " "), lambda w: w != "")

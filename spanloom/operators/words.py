@@ -25,24 +25,48 @@ def _zero(*cols: Column) -> Column:
     return F.coalesce(*cols, F.lit(0.0))
 
 
-def segment_words(s: Column, seg_pos: Column, rules: NormRules = NormRules()) -> Column:
-    """Words of one segment: ARRAY<STRUCT<raw, norm, seg_pos, seg_id, pos, start, end>>."""
+#: Stands between words while a whole document is normalized at once; in a word itself it is no letter.
+_BETWEEN = "\u0001"
+
+
+def raw_words(s: Column, seg_pos: Column) -> Column:
+    """Words of one segment before normalization: ARRAY<STRUCT<raw, seg_pos, seg_id, pos, start, end>>."""
     def word(raw: Column, pos: Column, start: Column, end: Column) -> Column:
-        return F.struct(raw.alias("raw"), textnorm.arabic(raw, rules).alias("norm"), seg_pos.alias("seg_pos"), F.coalesce(s["id"], F.lit(0)).alias("seg_id"), pos.alias("pos"), start.alias("start"), end.alias("end"))
+        return F.struct(raw.alias("raw"), seg_pos.alias("seg_pos"), F.coalesce(s["id"], F.lit(0)).alias("seg_id"), pos.alias("pos"), start.alias("start"), end.alias("end"))
 
     timed = F.transform(s["words"], lambda w, i: word(F.regexp_replace(F.coalesce(w["word"], F.lit("")), STRIP, ""), i, _zero(w["start"], s["start"]), _zero(w["end"], s["end"])))
     # The parameter of an outer function, so that the text is cut once and not once a word.
     cut = F.array(F.struct(textnorm.pieces(s["text"]).alias("p"), _zero(s["start"]).alias("lo"), _zero(s["end"]).alias("hi")))
     step = lambda c: (c["hi"] - c["lo"]) / F.greatest(F.size(c["p"]), F.lit(1))
     spread = F.flatten(F.transform(cut, lambda c: F.transform(c["p"], lambda w, i: word(w, i, c["lo"] + i * step(c), c["lo"] + (i + 1) * step(c)))))
-    return F.filter(F.when(F.size(s["words"]) > 0, timed).otherwise(spread), lambda w: w["norm"] != "")
+    return F.when(F.size(s["words"]) > 0, timed).otherwise(spread)
+
+
+def normals(raw: Column, rules: NormRules = NormRules()) -> Column:
+    """The normal form of every word of ``raw``, an array of raw words.
+
+    The words are normalized as one string, so the patterns run once a
+    document and not once a word.
+    """
+    joined = F.array_join(F.transform(raw, lambda w: F.replace(w, F.lit(_BETWEEN), F.lit(" "))), _BETWEEN)
+    return F.split(F.regexp_replace(textnorm.arabic(joined, rules, keep=_BETWEEN), f" *{_BETWEEN} *", _BETWEEN), _BETWEEN)
+
+
+_ARRAY = "array<struct<raw:string,norm:string,seg_pos:int,seg_id:int,pos:int,start:double,end:double>>"
 
 
 def word_arrays(docs: DataFrame, key: str, segments: str = "segments", keep: tuple[str, ...] = (), rules: NormRules = NormRules()) -> DataFrame:
     """Columns: the key as doc, ``keep``, words (g is the place in the array)."""
     live = F.filter(F.col(segments), lambda s: s.isNotNull())
-    words = F.flatten(F.transform(live, lambda s, i: segment_words(s, i, rules)))
-    return docs.select(F.col(key).alias("doc"), *keep, F.coalesce(words, F.array().cast("array<struct<raw:string,norm:string,seg_pos:int,seg_id:int,pos:int,start:double,end:double>>")).alias("words"))
+    raw = docs.select(F.col(key).alias("doc"), *keep, F.flatten(F.transform(live, raw_words)).alias("_raw"))
+
+    def both(w: Column, i: Column, n: Column) -> Column:
+        return F.struct(w["raw"].alias("raw"), F.get(n, i).alias("norm"), *[w[c].alias(c) for c in ("seg_pos", "seg_id", "pos", "start", "end")])
+
+    # The parameter of an outer function, so that the normal forms are made once a document.
+    one = F.array(F.struct(F.col("_raw").alias("r"), normals(F.transform("_raw", lambda w: w["raw"]), rules).alias("n")))
+    words = F.flatten(F.transform(one, lambda d: F.filter(F.transform(d["r"], lambda w, i: both(w, i, d["n"])), lambda w: w["norm"] != "")))
+    return raw.select("doc", *keep, F.coalesce(F.when(F.size("_raw") > 0, words), F.array().cast(_ARRAY)).alias("words"))
 
 
 def word_rows(arrays: DataFrame) -> DataFrame:

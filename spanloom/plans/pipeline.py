@@ -55,7 +55,7 @@ def enrich(docs: DataFrame, verses: DataFrame, key: str = "transcript_id", prima
     raw = cut(align.raw_matches(arrays, passages, cfg))
     verified = decide.decide(raw, passages, own, cfg)
     kept = verified.where("status <> 'rejected'").withColumn("cross_group", F.coalesce(F.col("group_no") != F.col("primary_no"), F.lit(True)))
-    found = cut(recover.recover(arrays, kept, passages, cfg))
+    found = recover.recover(arrays, kept, passages, cfg)
     found = found.join(passages.select("verse_id", "group_no", F.col("item_no").alias("item")), "verse_id")
     chained = recover.chain(found, "doc", "group_no", "item", "word_start", "word_end", "verse_id", cfg.max_gap_words, cfg.max_chain)
     if not cfg.keep_review:
