@@ -62,12 +62,28 @@ def factor(n: int) -> float:
     return 1.0 if n >= 5 else FACTORS.get(n, 0.40)
 
 
+def half_even(x: Column, digits: int) -> Column:
+    """``x`` to the nearest decimal, ties to the even digit, by the exact value of the double.
+
+    ``bround`` rounds the shortest decimal that prints as ``x``, which calls
+    values ties that are not. Here x is split in two parts whose products with
+    the power of ten are exact, so the side of the tie is exact too (up to 2^52
+    in the last digit).
+    """
+    s = F.lit(float(10**digits))
+    hi = x.cast("float").cast("double")
+    a, b = hi * s, (x - hi) * s
+    low = F.floor(a + b).cast("double")
+    side = (a - (low + 0.5)) + b
+    return F.when(side > 0, low + 1).when(side < 0, low).otherwise(low + F.pmod(low, F.lit(2.0))) / s
+
+
 def confidence(score: Column, n: Column) -> Column:
-    return F.bround(score / 100.0 * length_factor(n), 4)
+    return half_even(score / 100.0 * length_factor(n), 4)
 
 
 def coverage(matched: Column, of: Column) -> Column:
-    return F.when(of > 0, F.bround(F.least(F.lit(1.0), matched / F.when(of > 0, of)), 4)).otherwise(F.lit(0.0))
+    return F.when(of > 0, half_even(F.least(F.lit(1.0), matched / F.when(of > 0, of)), 4)).otherwise(F.lit(0.0))
 
 
 def overlap(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column) -> Column:

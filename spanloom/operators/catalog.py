@@ -83,6 +83,11 @@ def with_order(df: DataFrame, name: str, orders: DataFrame, order_name: str, ord
     return out.withColumn("group_order", F.when(intro, 0).otherwise(found) if intro is not None else found).drop("_n1", "_n2", "_o1", "_o2")
 
 
+def without_order(ordered: DataFrame) -> DataFrame:
+    """Of :func:`with_order`, the rows whose name has no known order; they are reported with the unmatched."""
+    return ordered.where((F.col("group_order") == UNKNOWN_ORDER) & ~F.col("is_intro"))
+
+
 def statistics(df: DataFrame, name: str, order: str) -> DataFrame:
     """Per group: its order and number of rows."""
     return df.groupBy(name).agg(F.min(order).alias("group_order"), F.count("*").alias("n_rows"))

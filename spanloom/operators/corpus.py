@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions import textnorm
+from spanloom.operators.manifest import numbered
 
 
 def number(raw: DataFrame) -> DataFrame:
     """Passages (group_no, group_name, item_no, text) in the corpus format, numbered from 1 in order."""
-    by = Window.orderBy("group_no", "item_no")
-    return raw.select(
-        F.row_number().over(by).alias("verse_id"), F.col("group_no").alias("surah_no"), F.col("group_name").alias("surah_name"), F.col("item_no").alias("ayah_no"),
+    return numbered(raw, ["group_no", "item_no"], "verse_id").select(
+        F.col("verse_id").cast("int").alias("verse_id"), F.col("group_no").alias("surah_no"), F.col("group_name").alias("surah_name"), F.col("item_no").alias("ayah_no"),
         F.col("text").alias("text_uthmani"), textnorm.arabic(F.col("text")).alias("text_norm"), textnorm.alignment(F.col("text")).alias("uth_align"),
     )
 
@@ -44,6 +44,15 @@ def postings(passages: DataFrame, cap: int | None = None) -> DataFrame:
     return out if cap is None else out.where(F.col("df") <= cap)
 
 
+def seed_cap(passages: DataFrame, cap: int | None) -> DataFrame:
+    """One row: pairs_over_cap, places_over_cap, and passages_unseeded, those with pairs of words of which all are over the cap."""
+    rows = postings(passages).withColumn("over", F.lit(False) if cap is None else F.col("df") > cap)
+    places = rows.groupBy("verse_id").agg(F.count_if("over").alias("n_over"), F.count("*").alias("n"))
+    per_pair = rows.groupBy("w1", "w2").agg(F.max("over").alias("over"))
+    pairs = per_pair.agg(F.count_if("over")).scalar()
+    return places.agg(pairs.alias("pairs_over_cap"), F.coalesce(F.sum("n_over"), F.lit(0)).cast("long").alias("places_over_cap"), F.count_if(F.col("n_over") == F.col("n")).alias("passages_unseeded"))
+
+
 def frequencies(passages: DataFrame) -> DataFrame:
     return bigrams(passages, "verse_id", "tokens", "vpos").groupBy("w1", "w2").agg(F.count("*").alias("df"))
 

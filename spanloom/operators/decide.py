@@ -76,4 +76,4 @@ def decide(raw: DataFrame, passages: DataFrame, primary: DataFrame, cfg: Config
     unclear = F.col("rival_own").isNotNull() & ~(F.col("own") & ~F.col("rival_own"))
     conf = F.when(unclear, F.greatest(F.lit(0.0), F.col("conf") - cfg.ambiguity_penalty)).otherwise(F.col("conf"))
     out = out.withColumn("c", conf)
-    return out.withColumn("status", scores.status(F.col("c"), F.col("matched"), cfg.accept, cfg.review, cfg.min_standalone)).withColumn("confidence", F.bround("c", 4)).drop("c", "conf", "lo", "hi", "own", "rival_own")
+    return out.withColumn("status", scores.status(F.col("c"), F.col("matched"), cfg.accept, cfg.review, cfg.min_standalone)).withColumn("confidence", scores.half_even(F.col("c"), 4)).drop("c", "conf", "lo", "hi", "own", "rival_own")

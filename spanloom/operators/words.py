@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.config import NormRules
-from spanloom.functions import textnorm
+from spanloom.functions import scores, textnorm
 
 STRIP = r"(?U)\A\s+|\s+\z"
 
@@ -82,3 +82,14 @@ def full_text(segments: Column) -> Column:
 def reliable(segments: Column, least_logprob: float = -1.0, most_no_speech: float = 0.6) -> Column:
     """The segments the recognizer was sure of."""
     return F.filter(segments, lambda s: (s["avg_logprob"] >= least_logprob) & (s["no_speech_prob"] <= most_no_speech))
+
+
+def rounded(doc: Column) -> Column:
+    """A recognizer's document as it is kept: times to 3 digits, probabilities to 4, the duration to 2, texts trimmed, segments numbered from 0."""
+    r = scores.half_even
+    word = lambda w: F.struct(w["word"].alias("word"), r(w["start"], 3).alias("start"), r(w["end"], 3).alias("end"), r(w["probability"], 4).alias("probability"))
+    seg = lambda s, i: F.struct(
+        i.alias("id"), r(s["start"], 3).alias("start"), r(s["end"], 3).alias("end"), F.regexp_replace(s["text"], STRIP, "").alias("text"),
+        r(s["avg_logprob"], 4).alias("avg_logprob"), r(s["no_speech_prob"], 4).alias("no_speech_prob"), F.transform(s["words"], word).alias("words"),
+    )
+    return doc.withField("language_probability", r(doc["language_probability"], 4)).withField("duration_seconds", r(doc["duration_seconds"], 2)).withField("segments", F.transform(doc["segments"], seg))

@@ -20,13 +20,14 @@ MATCH_COLUMNS = (
 
 @dataclass
 class Enriched:
-    """matches (MATCH_COLUMNS), texts (doc, seg_id, enriched_text), rollups per document, stats (one row)."""
+    """matches (MATCH_COLUMNS), texts (doc, seg_id, enriched_text), rollups per document, stats (one row), limits (one row: what the bounds left out)."""
 
     arrays: DataFrame
     matches: DataFrame
     texts: DataFrame
     rollups: DataFrame
     stats: DataFrame
+    limits: DataFrame
 
 
 def finish(arrays: DataFrame, found: DataFrame, passages: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def finish(arrays: DataFrame, found: DataFrame, passages: DataFrame) -> DataFram
         "doc", F.col("group_name").alias("surah"), F.col("group_no").alias("surah_no"), F.col("item_no").alias("ayah"), "item_end", "verse_id", F.col("source").alias("canonical_text"),
         textnorm.fragment(F.col("source"), F.col("align"), F.col("verse_start"), F.col("verse_end")).alias("canonical_quoted"), "confidence", "status",
         F.get(w, F.col("word_start"))["start"].alias("start"), F.get(w, F.col("word_end"))["end"].alias("end"), "word_start", "word_end", text.alias("transcript_text"),
-        F.bround("score", 2).alias("fuzz_score"), scores.coverage(F.col("matched"), F.size("tokens")).alias("coverage"), F.col("cross_group").alias("is_cross_surah"), "chain_id",
+        scores.half_even(F.col("score"), 2).alias("fuzz_score"), scores.coverage(F.col("matched"), F.size("tokens")).alias("coverage"), F.col("cross_group").alias("is_cross_surah"), "chain_id",
     ).withColumnRenamed("item_end", "ayah_end").select(*MATCH_COLUMNS)
 
 
@@ -55,8 +56,8 @@ def enrich(docs: DataFrame, verses: DataFrame, key: str = "transcript_id", prima
     raw = cut(align.raw_matches(arrays, passages, cfg))
     verified = decide.decide(raw, passages, own, cfg)
     kept = verified.where("status <> 'rejected'").withColumn("cross_group", F.coalesce(F.col("group_no") != F.col("primary_no"), F.lit(True)))
-    found = recover.recover(arrays, kept, passages, cfg)
-    found = found.join(passages.select("verse_id", "group_no", F.col("item_no").alias("item")), "verse_id")
+    recovered = cut(recover.recover(arrays, kept, passages, cfg))
+    found = recovered.join(passages.select("verse_id", "group_no", F.col("item_no").alias("item")), "verse_id")
     chained = recover.chain(found, "doc", "group_no", "item", "word_start", "word_end", "verse_id", cfg.max_gap_words, cfg.max_chain)
     if not cfg.keep_review:
         chained = chained.where("status = 'accepted'")
@@ -66,7 +67,16 @@ def enrich(docs: DataFrame, verses: DataFrame, key: str = "transcript_id", prima
     if not cfg.write_text:
         texts = texts.limit(0)
     rollups = own.select("doc").join(rewrite.rollup(matches, "doc", "is_cross_surah"), "doc", "left").na.fill(0)
-    return Enriched(arrays, matches, texts, rollups, rewrite.run_stats(rollups))
+    return Enriched(arrays, matches, texts, rollups, rewrite.run_stats(rollups), limits(passages, recovered, cfg))
+
+
+def limits(passages: DataFrame, recovered: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """One row: pairs of words over ``bigram_df_cap`` and their places, passages left without a seed, and documents whose recovery ``max_pops`` ended.
+
+    Both bounds are fixed values of the results; None for either is the exact run.
+    """
+    p = corpus.seed_cap(passages, cfg.bigram_df_cap)
+    return p.withColumn("documents_cut_off", recovered.where("cut_off").agg(F.count_distinct("doc")).scalar())
 
 
 def enriched_documents(docs: DataFrame, e: Enriched, key: str = "transcript_id") -> DataFrame:
@@ -89,8 +99,13 @@ def enriched_documents(docs: DataFrame, e: Enriched, key: str = "transcript_id")
 
 
 def match_lines(e: Enriched, docs: DataFrame, key: str = "transcript_id") -> DataFrame:
-    """Flat match lines with the document's path and its own group."""
-    path = F.concat(F.coalesce("surah", F.lit("_")), F.lit("/ep_"), F.format_string("%03d", F.coalesce("episode", F.lit(0))), F.lit(".json"))
+    """Flat match lines with the document's path and its own group.
+
+    The path is the column ``name`` of ``docs``, or made of group and episode
+    where there is none.
+    """
+    made = F.concat(F.coalesce("surah", F.lit("_")), F.lit("/ep_"), F.format_string("%03d", F.coalesce("episode", F.lit(0))), F.lit(".json"))
+    path = F.col("name") if "name" in docs.columns else made
     d = docs.select(F.col(key).alias("doc"), path.alias("episode_path"), F.col("surah").alias("primary_surah"))
     return e.matches.join(d, "doc").select("episode_path", "primary_surah", "surah", "ayah", "ayah_end", "verse_id", "confidence", "status", "start", "end", "is_cross_surah", "transcript_text", "canonical_quoted")
 

@@ -13,5 +13,3 @@ GOLD = "episode string, surah string, ayah int, status string, confidence double
 MATCH = "struct<surah:string,surah_no:int,ayah:int,ayah_end:int,verse_id:int,canonical_text:string,canonical_quoted:string,confidence:double,status:string,start:double,end:double,word_start:int,word_end:int,transcript_text:string,fuzz_score:double,coverage:double,is_cross_surah:boolean,chain_id:int>"
 ENRICHED = f"schema_version string, surah string, surah_order int, episode int, source_transcript string, primary_surah_no int, total_matches int, accepted int, review int, cross_surah int, matches array<{MATCH}>, segments array<struct<id:int,start:double,end:double,text:string,enriched_text:string,matches:array<{MATCH}>>>"
 MANIFEST = "phase string, updated_at string, counts struct<total:int,done:int,failed:int,pending:int>, records map<string,struct<status:string,output_path:string,error:string,processed_at:string>>"
-#: The fields of a flat match line.
-MATCH_LINE = ("episode_path", "primary_surah", "surah", "ayah", "ayah_end", "verse_id", "confidence", "status", "start", "end", "is_cross_surah", "transcript_text", "canonical_quoted")

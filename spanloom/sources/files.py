@@ -2,7 +2,8 @@
 
 A missing folder or file raises; an empty corpus raises. Malformed JSON
 documents come back with their text in ``_corrupt_record`` instead of ending
-the run (``strict`` raises instead).
+the run (``strict`` raises instead). Paths may be on any file system that
+Hadoop knows; files written one by one go through pyarrow's file systems.
 """
 
 from __future__ import annotations
@@ -12,20 +13,21 @@ from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom import schema
 from spanloom.operators import catalog, corpus
+from spanloom.operators.manifest import COLUMNS as STATE
 from spanloom.sources.package import ship
 
 
 def listing(spark: SparkSession, folder: str, recursive: bool = False, glob: str | None = None) -> DataFrame:
-    """path of the files in a folder; their contents are not read. Files without a byte are left out."""
+    """path of the files in a folder, in order; their contents are not read. Files without a byte are left out."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(folder).select("path")
+    return r.load(folder).select("path").orderBy("path")
 
 
 def videos(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -41,18 +43,40 @@ def corpus_xml(spark: SparkSession, path: str) -> DataFrame:
     return corpus.number(rows)
 
 
-def locate(path: str, *fallbacks: str) -> str:
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop(spark, path)
+    return fs.getFileStatus(p).isDirectory()
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as it stands in front of the files' own paths."""
+    p, fs = _hadoop(spark, path)
+    return fs.makeQualified(p).toUri().toString().rstrip("/")
+
+
+def locate(spark: SparkSession, path: str, *fallbacks: str) -> str:
     """The first of the paths that exists."""
     for p in (path, *fallbacks):
-        if Path(p).exists():
+        if exists(spark, p):
             return p
     raise FileNotFoundError(path)
 
 
-def copy_if_missing(source: str, to: str) -> None:
-    if not Path(to).exists():
-        Path(to).parent.mkdir(parents=True, exist_ok=True)
-        shutil.copyfile(source, to)
+def copy_if_missing(spark: SparkSession, source: str, to: str) -> None:
+    if not exists(spark, to):
+        (a, from_fs), (b, to_fs) = _hadoop(spark, source), _hadoop(spark, to)
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(from_fs, a, to_fs, b, False, spark._jsc.hadoopConfiguration())
 
 
 def corpus_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -63,9 +87,21 @@ def corpus_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, path: str, ddl: str, glob: str = "*.json", strict: bool = False) -> DataFrame:
-    """One row per JSON document below a folder, with its path; bad ones have ``_corrupt_record``."""
-    r = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("mode", "FAILFAST" if strict else "PERMISSIVE")
-    return r.schema(ddl if strict else ddl + ", _corrupt_record string").json(path).withColumn("path", F.col("_metadata.file_path"))
+    """One row per JSON document below a folder, with its path; bad ones have ``_corrupt_record``.
+
+    A file is one document over any number of lines, or holds one document a
+    line. A row is a whole file before it is parsed, so tables of many
+    documents are better read as JSON lines (``spark.read.json``).
+    """
+    mode = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    kept = ddl if strict else ddl + ", _corrupt_record string"
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    files = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("_v"))
+    lines = F.filter(F.split("_v", r"\r?\n"), lambda x: F.trim(x) != "")
+    # Several lines that are all complete JSON values are documents of their own.
+    several = (F.size(lines) > 1) & F.forall(lines, lambda x: F.get_json_object(x, "$").isNotNull())
+    parts = files.select("path", F.explode(F.when(several, lines).otherwise(F.array("_v"))).alias("_t"))
+    return parts.select("path", F.from_json("_t", kept, mode).alias("_d")).select("_d.*", "path")
 
 
 def transcripts(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -84,31 +120,57 @@ def gold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema.GOLD, multiLine=True, escape='"')
 
 
+def decoded(path: Column) -> Column:
+    """A file's path as it is written, without percent signs for its letters."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
+def episode_key(path: Column) -> Column:
+    """folder/file of a document's path."""
+    return F.regexp_extract(decoded(path), r"([^/]+/[^/]+)$", 1)
+
+
+def below(path: Column, root: str) -> Column:
+    """The path below ``root``; folder/file where it is not below it."""
+    p = decoded(path)
+    return F.when(F.startswith(p, F.lit(root + "/")), F.substring(p, F.lit(len(root) + 2), F.length(p))).otherwise(episode_key(path))
+
+
 def predictions(spark: SparkSession, path: str, episodes: DataFrame, statuses: Sequence[str]) -> DataFrame:
-    """Keys (episode, surah, ayah) of the matches of the named episodes' enriched documents."""
-    d = documents(spark, path, schema.ENRICHED).withColumn("episode_path", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1))
+    """Keys (episode, surah, ayah) of the matches of the named episodes' enriched documents, which mirror the transcripts' folders."""
+    d = documents(spark, path, schema.ENRICHED).withColumn("episode_path", episode_key(F.col("path")))
     d = d.join(episodes.select(F.col("episode").alias("episode_path")).distinct(), "episode_path", "left_semi")
     m = d.select("episode_path", F.explode("matches").alias("m")).where(F.col("m.status").isin(*statuses))
     return m.select(F.col("episode_path").alias("episode"), F.col("m.surah").alias("surah"), F.col("m.ayah").alias("ayah")).distinct()
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """key, status, output_path, error, at; empty where there is no file yet."""
-    empty = "key string, status string, output_path string, error string, at string"
-    if not Path(path).exists():
-        return spark.createDataFrame([], empty)
+    """key, status, output_path, error, at: the latest state saved at ``path``, or a JSON manifest file; empty where there is none yet."""
+    names = list(STATE)
+    if not exists(spark, path):
+        return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in STATE.items()))
+    if is_folder(spark, path):
+        p, fs = _hadoop(spark, path)
+        saved = [f.getPath() for f in fs.listStatus(p) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+        last = max(saved, key=lambda x: int(x.getName()), default=None)
+        if last is not None:
+            return spark.read.parquet(last.toString())
     m = spark.read.option("multiLine", True).schema(schema.MANIFEST).json(path).select(F.explode("records").alias("key", "r"))
-    return m.select("key", "r.status", "r.output_path", "r.error", F.col("r.processed_at").alias("at"))
+    return m.select("key", "r.status", "r.output_path", "r.error", F.col("r.processed_at").alias("at")).select(*names)
+
+
+def save_manifest(current: DataFrame, path: str) -> DataFrame:
+    """The state as a new table below ``path``; a run that ends in between leaves the one before. Returns what was saved."""
+    spark = current.sparkSession
+    p, fs = _hadoop(spark, path)
+    number = 1 + max((int(f.getPath().getName()) for f in fs.listStatus(p)), default=0) if fs.exists(p) else 1
+    current.write.mode("overwrite").parquet(f"{path}/{number}")
+    return spark.read.parquet(f"{path}/{number}")
 
 
-def write_manifest(current: DataFrame, path: str, phase: str) -> None:
-    """One document with refreshed counts; the state is per file of work, and small."""
-    r = current.select("key", F.struct("status", *[c if c in current.columns else F.lit(None).cast("string").alias(c) for c in ("output_path", "error")], F.col("at").cast("string").alias("processed_at")).alias("r"))
-    done = F.count_if(F.col("r.status") == "done")
-    failed = F.count_if(F.col("r.status") == "failed")
-    doc = r.agg(F.struct(F.count("*").alias("total"), done.alias("done"), failed.alias("failed"), (F.count("*") - done - failed).alias("pending")).alias("counts"), F.map_from_entries(F.collect_list(F.struct("key", "r"))).alias("records"))
-    doc = doc.select(F.lit(phase).alias("phase"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"), "counts", "records")
-    doc.coalesce(1).write.mode("overwrite").json(path)
+def utc_now() -> Column:
+    """The time now in UTC, as ISO text."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def write_json(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
@@ -116,13 +178,19 @@ def write_json(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
 
 
 def write_mirrored(df: DataFrame, name: str, body: str, root: str) -> None:
-    """One file per row at root/name, written by the tasks; root is a folder all of them share."""
+    """One file per row at root/name, written by the tasks; root is a folder or URI that all of them share."""
+    ship(df.sparkSession)
+    uri = qualified(df.sparkSession, root)
 
     def put(rows: Iterator) -> None:
+        from pyarrow import fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(uri)
         for r in rows:
-            p = Path(root) / r[0]
-            p.parent.mkdir(parents=True, exist_ok=True)
-            p.write_text(r[1], encoding="utf-8")
+            to = f"{base}/{r[0]}"
+            fs.create_dir(to.rsplit("/", 1)[0], recursive=True)
+            with fs.open_output_stream(to) as f:
+                f.write(r[1].encode("utf-8"))
 
     df.select(name, body).foreachPartition(put)
 
@@ -139,11 +207,37 @@ def fulltext_tables(passages: DataFrame, database: str) -> None:
     passages.select("verse_id", F.posexplode("tokens").alias("pos", "token")).write.mode("overwrite").saveAsTable(f"{database}.postings")
 
 
-def run_model(files: DataFrame, load: Callable[[], Callable[[str], str]], out: str = "path string, body string, error string") -> DataFrame:
-    """``path`` through a model that is loaded once per task; a failing row gives its error and the run goes on.
+#: What is left of the message of a failed program.
+_TAIL_LINES = 5
+# How sound is taken out of a video (16 kHz, one channel, 16 bit).
+DECODER = ("ffmpeg", "-y", "-i", "{input}", "-vn", "-acodec", "pcm_s16le", "-ar", "16000", "-ac", "1", "{output}")
+
+
+def command(template: Sequence[str]) -> Callable[[], Callable[[str, str], str]]:
+    """A loader for :func:`run_model` that runs an external program per file; {input} and {output} stand for the two paths."""
+
+    def load() -> Callable[[str, str], str]:
+        import subprocess
+
+        external_tool(template[0])
+
+        def run(source: str, to: str) -> str:
+            Path(to).parent.mkdir(parents=True, exist_ok=True)
+            done = subprocess.run([t.format(input=source, output=to) for t in template], stdout=subprocess.DEVNULL, stderr=subprocess.PIPE, encoding="utf-8", errors="replace")
+            if done.returncode:
+                raise RuntimeError("\n".join(done.stderr.strip().splitlines()[-_TAIL_LINES:]))
+            return to
+
+        return run
+
+    return load
+
+
+def run_model(files: DataFrame, load: Callable[[], Callable[..., str]], columns: Sequence[str] = ("path",)) -> DataFrame:
+    """path, body, error: ``columns`` (path first) through a model that is loaded once per task; a failing row gives its error and the run goes on.
 
-    ``load`` returns a function from a path to a JSON body (a recognizer, a
-    decoder, an external program).
+    ``load`` returns a function from the columns' values to a text, such as a
+    JSON body (a recognizer, a decoder, an external program).
     """
     ship(files.sparkSession)
 
@@ -152,22 +246,22 @@ def run_model(files: DataFrame, load: Callable[[], Callable[[str], str]], out: s
         try:
             for b in batches:
                 rows = []
-                for p in b["path"]:
+                for values in zip(*(b[c] for c in columns)):
                     try:
-                        rows.append((p, model(p), None))
+                        rows.append((values[0], model(*values), None))
                     except Exception as e:  # noqa: BLE001 - one bad file must not end the run
-                        rows.append((p, None, f"{type(e).__name__}: {e}"))
+                        rows.append((values[0], None, f"{type(e).__name__}: {e}"))
                 yield pd.DataFrame(rows, columns=["path", "body", "error"])
         finally:
             if hasattr(model, "close"):
                 model.close()
 
-    return files.select("path").mapInPandas(run, out)
+    return files.select(*columns).mapInPandas(run, "path string, body string, error string")
 
 
-def external_tool(command: str) -> str:
+def external_tool(name: str) -> str:
     """Where an external program is; raises where it is not."""
-    at = shutil.which(command)
+    at = shutil.which(name)
     if at is None:
-        raise RuntimeError(f"{command} is not installed")
+        raise RuntimeError(f"{name} is not installed")
     return at

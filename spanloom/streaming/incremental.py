@@ -7,22 +7,26 @@ were done, and a run takes what is new and ends (AvailableNow).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.config import Config
-from spanloom.operators import align, corpus, words
+from spanloom.plans import pipeline
 from spanloom.sources.tables import dealt_out, ensure_checkpoint_dir
 
 
-def enrich_new(docs: DataFrame, verses: DataFrame, out: str, state: str, key: str = "transcript_id", cfg: Config = Config()) -> None:
-    """Raw spans of the new documents of the stream ``docs``, appended to ``out``; a batch that is repeated replaces its own rows."""
-    passages = corpus.passages(verses)
+def enrich_new(docs: DataFrame, verses: DataFrame, out: str, state: str, key: str = "transcript_id", primary: str = "surah_order", cfg: Config = Config()) -> None:
+    """The new documents of the stream ``docs`` through the whole pipeline: matches, texts and roll-ups below ``out``.
+
+    A batch that is repeated replaces its own rows.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        arrays = words.word_arrays(dealt_out(batch, key), key, rules=cfg.rules)
-        align.raw_matches(arrays, passages, cfg).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        e = pipeline.enrich(dealt_out(batch, key), verses, key, primary, cfg)
+        for name, rows in (("matches", e.matches), ("texts", e.texts), ("rollups", e.rollups)):
+            rows.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
 
     docs.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
 
@@ -49,10 +53,21 @@ def windowed_counts(events: DataFrame, ts: str, kind: str, width: str = "1 hour"
 
 
 def run_windowed(events: DataFrame, out: str, state: str, **how: str) -> None:
-    """:func:`windowed_counts` over the stream ``events`` until all are read; ``out`` holds the latest counts."""
+    """:func:`windowed_counts` over the stream ``events`` until all are read, as the changes of each batch below ``out``.
+
+    Update mode: a batch writes only the windows that it changed, and the state
+    of a window is dropped when the watermark has passed it. Read with
+    :func:`latest`.
+    """
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    q = windowed_counts(events, "ts", "event_type", **how).writeStream.outputMode("complete").foreachBatch(write)
+    q = windowed_counts(events, "ts", "event_type", **how).writeStream.outputMode("update").foreachBatch(write)
     q.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+
+
+def latest(changes: DataFrame, key: Sequence[str] = ("window_start", "event_type")) -> DataFrame:
+    """Of the changes that batches wrote, the last of each key."""
+    rest = [c for c in changes.columns if c not in (*key, "batch")]
+    return changes.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("x")).select(*key, "x.*")

@@ -1,10 +1,11 @@
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanloom import schema
-from spanloom.operators import corpus
+from spanloom.operators import corpus, manifest
 from spanloom.sources import files
 from spanloom.sources.package import ship
 from spanloom.streaming import incremental
@@ -21,10 +22,10 @@ def test_corpus_xml_and_jsonl(spark, tmp_path):
     (tmp_path / "empty" / "a.json").write_text("\n\n")
     with pytest.raises(ValueError):
         files.corpus_jsonl(spark, f"{tmp_path}/empty")
-    files.copy_if_missing(str(x), str(tmp_path / "to" / "c.xml"))
-    assert files.locate("/nowhere", str(x)) == str(x)
+    files.copy_if_missing(spark, str(x), str(tmp_path / "to" / "c.xml"))
+    assert files.locate(spark, "/nowhere", str(x)) == str(x)
     with pytest.raises(FileNotFoundError):
-        files.locate("/nowhere")
+        files.locate(spark, "/nowhere")
 
 
 def test_documents_listing_and_mirror(spark, tmp_path):
@@ -47,10 +48,33 @@ def test_sheet_and_manifest(spark, tmp_path):
     files.write_gold_sheet(s, f"{tmp_path}/g")
     back = files.gold(spark, f"{tmp_path}/g").first()
     assert back.transcript_text == 'he said "x", y' and back.VERDICT in (None, "")
-    st = spark.createDataFrame([("a", "done", "2024"), ("b", "failed", None)], "key string, status string, at string")
     assert files.manifest(spark, f"{tmp_path}/none").count() == 0
-    files.write_manifest(st, f"{tmp_path}/m", "phase")
-    assert {(r.key, r.status) for r in files.manifest(spark, f"{tmp_path}/m").collect()} == {("a", "done"), ("b", "failed")}
+    st = manifest.register(files.manifest(spark, f"{tmp_path}/none"), spark.createDataFrame([("a", "o/a"), ("b", "o/b")], "key string, output_path string"))
+    st = files.save_manifest(st, f"{tmp_path}/m")
+    ch = spark.createDataFrame([("a", "done", None, "2024"), ("b", "failed", "why", "2024")], "key string, status string, error string, at string")
+    files.save_manifest(manifest.apply(st, ch), f"{tmp_path}/m")
+    assert {tuple(r) for r in files.manifest(spark, f"{tmp_path}/m").collect()} == {("a", "done", "o/a", None, "2024"), ("b", "failed", "o/b", "why", "2024")}
+    with pytest.raises(Exception, match="not registered"):
+        manifest.apply(st, spark.createDataFrame([("z", "done", "2024")], "key string, status string, at string")).collect()
+    (tmp_path / "one.json").write_text(json.dumps({"phase": "p", "records": {"a": {"status": "done", "output_path": "x", "error": None, "processed_at": "t"}}}))
+    assert [tuple(r) for r in files.manifest(spark, f"{tmp_path}/one.json").collect()] == [("a", "done", "x", None, "t")]
+
+
+def test_a_file_of_several_records_is_read_whole(spark, tmp_path):
+    (tmp_path / "two.json").write_text('{"surah": "a", "episode": 1}\n{"surah": "b", "episode": 2}\n\n')
+    (tmp_path / "one.json").write_text('{"surah": "c",\n "episode":\n 3}')
+    (tmp_path / "bad.json").write_text('{"surah": "d"\n')
+    d = files.transcripts(spark, str(tmp_path)).collect()
+    assert sorted(r.surah for r in d if r._corrupt_record is None) == ["a", "b", "c"] and len(d) == 4
+
+
+def test_time_is_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = spark.range(1).select(files.utc_now()).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert abs((datetime.strptime(got, "%Y-%m-%dT%H:%M:%SZ").replace(tzinfo=timezone.utc) - datetime.now(timezone.utc)).total_seconds()) < 120
 
 
 def test_fulltext_tables_and_predictions(spark, tmp_path):
@@ -91,7 +115,8 @@ def test_new_files_only(spark, tmp_path):
             docs.withColumn("transcript_id", F.col("transcript_id") + 10).write.mode("append").parquet(f"{tmp_path}/in")
         stream = incremental.table_stream(spark, f"{tmp_path}/in", f"transcript_id long, surah_order int, segments array<{schema.SEGMENT}>")
         incremental.enrich_new(stream, verses, f"{tmp_path}/out", f"{tmp_path}/state")
-        assert sorted(r.doc for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [0, 10][:n]
+        assert sorted(r.doc for r in spark.read.parquet(f"{tmp_path}/out/matches").collect()) == [0, 10][:n]
+        assert {r.enriched_text for r in spark.read.parquet(f"{tmp_path}/out/texts").collect()} == {"قال ﴿ باب دار قلم كتاب نور ﴾ [g1:1]"}
 
 
 def test_streamed_windows_equal_batch(spark, tmp_path):
@@ -99,4 +124,4 @@ def test_streamed_windows_equal_batch(spark, tmp_path):
     ev.write.parquet(f"{tmp_path}/ev")
     incremental.run_windowed(incremental.table_stream(spark, f"{tmp_path}/ev", "ts timestamp, event_type string, value double"), f"{tmp_path}/o", f"{tmp_path}/s")
     batch = {tuple(r) for r in incremental.windowed_counts(ev, "ts", "event_type").collect()}
-    assert batch and {tuple(r) for r in spark.read.parquet(f"{tmp_path}/o").collect()} == batch
+    assert batch and {tuple(r) for r in incremental.latest(spark.read.parquet(f"{tmp_path}/o")).collect()} == batch

@@ -187,7 +187,7 @@ def test_state_of_work(spark):
     assert manifest.counts(reg).first().asDict() == {"total": 3, "done": 1, "failed": 1, "pending": 1}
     work = spark.createDataFrame([("a",), ("b",), ("q",)], "f string")
     assert {r.f for r in manifest.pending(work, "f", st).collect()} == {"a", "q"}
-    ap = manifest.apply(reg, spark.createDataFrame([("z", "done", 9), ("unknown", "done", 9)], "key string, status string, at int"))
+    ap = manifest.apply(reg, spark.createDataFrame([("z", "done", 9)], "key string, status string, at int"))
     assert {r.key: r.status for r in ap.collect()} == {"a": "failed", "b": "done", "z": "done"}
     rec = manifest.reconcile(reg, spark.createDataFrame([("a",)], "key string"))
     assert {r.key: r.status for r in rec.collect()}["a"] == "done"
@@ -232,6 +232,43 @@ def test_greedy_and_ambiguity_edges(spark):
     assert got == want
 
 
+def test_rounding_is_that_of_exact_values(spark):
+    rnd = random.Random(4)
+    xs = [m / n for n in range(1, 200) for m in range(n + 1)] + [rnd.random() * 100 for _ in range(2000)] + [0.125, 2.675, 1.005, -0.5, -1.25, 0.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for digits in (0, 2, 3, 4):
+        got = df.select("x", scores.half_even(F.col("x"), digits).alias("y")).collect()
+        assert all(r.y == round(r.x, digits) for r in got)
+    assert spark.range(1).select(scores.coverage(F.lit(1), F.lit(32)), scores.coverage(F.lit(1), F.lit(0))).first()[:] == (0.0312, 0.0)
+
+
+def test_recognizer_output_is_rounded(spark):
+    doc = (0.98765, 10.005, [(7, 0.12345, 1.0005, "  a b ", -0.123456, 0.5, [("a", 0.00049, 1.23456, 0.99999)])])
+    df = spark.createDataFrame([(doc,)], f"d struct<language_probability:double,duration_seconds:double,segments:array<{SEGMENT}>>")
+    d = df.select(words.rounded(F.col("d")).alias("d")).first().d
+    assert (d.language_probability, d.duration_seconds) == (round(0.98765, 4), round(10.005, 2))
+    assert d.segments[0].asDict(True) == {"id": 0, "start": 0.123, "end": round(1.0005, 3), "text": "a b", "avg_logprob": -0.1235, "no_speech_prob": 0.5, "words": [{"word": "a", "start": 0.0, "end": 1.235, "probability": 1.0}]}
+
+
+def test_bounds_are_reported_and_can_be_lifted(spark):
+    verses = corpus_of(spark, ["باب دار", "باب دار قلم", "ليل نهار"])
+    docs = docs_of(spark, ["ثم باب دار قلم ثم ليل نهار"])
+    few, all_ = (pipeline.enrich(docs, verses, cfg=Config(bigram_df_cap=c, review=0.0)) for c in (1, None))
+    assert few.limits.first().asDict() == {"pairs_over_cap": 1, "places_over_cap": 2, "passages_unseeded": 1, "documents_cut_off": 0}
+    assert all_.limits.first().asDict() == {"pairs_over_cap": 0, "places_over_cap": 0, "passages_unseeded": 0, "documents_cut_off": 0}
+    p = corpus.passages(verses)
+    arrays = words.word_arrays(docs, "transcript_id")
+    assert {r.verse_id for r in align.raw_matches(arrays, p, Config(bigram_df_cap=1)).collect()} == {2, 3}
+    assert {r.verse_id for r in align.raw_matches(arrays, p, Config(bigram_df_cap=None)).collect()} == {1, 2, 3}
+    t = "ا ب ت ث ج ح خ د ذ ر ز س".split()
+    first = {"verse_id": 1, "word_start": 0, "word_end": 3, "verse_start": 0, "verse_end": 3, "matched": 4, "score": 100.0, "confidence": 0.96, "status": "accepted", "cross_group": False}
+    verses = {1: (1, t[:4]), 2: (1, t[4:8]), 3: (1, t[8:])}
+    got, cut_off = recover.recover_one(t, [first], verses, Config(max_pops=1))
+    assert len(got) == 2 and cut_off
+    got, cut_off = recover.recover_one(t, [first], verses, Config(max_pops=None))
+    assert len(got) == 3 and not cut_off
+
+
 def test_settings():
     assert load_config(bigram_df_cap=3).bigram_df_cap == 3
     with pytest.raises(ValueError):
