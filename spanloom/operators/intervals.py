@@ -3,15 +3,16 @@
 Two levels. Intervals are clipped into shards of fixed width, merged inside
 each shard, and only what touches a shard boundary is stitched per entity.
 
-Bounds that keep every task small whatever the skew:
+Bounds that keep every task small whatever the skew and however far apart the
+coordinates are:
 
 * coordinates are whole numbers and equal starts are reduced to their largest
-  end before anything is sorted, so a shard holds at most ``width + 1`` rows
-  (the two outermost shards are open-ended and hold what lies beyond);
-* the stitching step sees at most three rows per (entity, non-empty shard);
-* an interval over many shards is not copied as such: the runs of shards that
-  intervals cover whole are merged first, so an entity gets one filler row
-  per covered shard at most.
+  end before anything is sorted, so a shard holds at most ``width + 2`` rows;
+* there are no outermost shards: a shard is any whole number;
+* an interval over many shards is two clips and one bridge between them, never
+  a row per shard; a bridge reaches only the shards that hold something;
+* the stitching step sees at most four rows per (entity, non-empty shard), and
+  one per shard where bridges begin.
 
 Defined results for odd input: intervals with a null or NaN bound, or with
 lo > hi, are left out; a null entity key is an entity of its own; repeated
@@ -27,49 +28,51 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Shards beyond this number are one open-ended shard.
-MAX_SHARD = 65_535
-
 
 def whole(col: Column, scale: float = 1.0) -> Column:
-    """A double as a whole number after scaling; null where it is not finite or not representable."""
+    """A double as a whole number after scaling; null where it is not finite or beyond the whole numbers of 64 bits."""
     x = col.cast("double") * F.lit(float(scale))
-    return F.when(F.abs(x) < F.lit(9.0e15), F.round(x).cast("long"))
+    return F.when(F.abs(x) < F.lit(9.2e18), F.round(x).cast("long"))
 
 
-def merge_intervals(intervals: DataFrame, keys: Sequence[str], lo: str, hi: str, width: int = 600_000) -> DataFrame:
+def merge_intervals(intervals: DataFrame, keys: Sequence[str], lo: str, hi: str, width: int | Column = 60_000) -> DataFrame:
     """Columns ``keys``, kind ('period' or 'gap'), lo, hi.
 
     Closed intervals that share a point belong to one period; a gap runs from
     the end of a period to the start of the next. For integer positions where
     neighbours touch, pass hi + 1 and take the 1 off again (see
-    :func:`merge_positions`).
+    :func:`merge_positions`). ``width`` is that of a shard; a column of it must
+    be a function of the keys.
     """
     k = [f"k{i}" for i in range(len(keys))]
+    size = F.lit(width) if isinstance(width, int) else width
     base = intervals.select(
-        *[F.col(c).alias(n) for c, n in zip(keys, k)], F.col(lo).cast("long").alias("lo"), F.col(hi).cast("long").alias("hi")
+        *[F.col(c).alias(n) for c, n in zip(keys, k)], F.col(lo).cast("long").alias("lo"), F.col(hi).cast("long").alias("hi"), size.cast("long").alias("w")
     ).where("lo <= hi")
+    k = [*k, "w"]
+    # whole-number division that rounds down, also below zero
+    base = base.withColumn("s_lo", F.expr("lo div w - if(lo % w < 0, 1, 0)")).withColumn("s_hi", F.expr("hi div w - if(hi % w < 0, 1, 0)"))
 
-    def shard(x: str) -> Column:
-        return F.least(F.greatest(F.floor(F.col(x) / F.lit(width)), F.lit(0)), F.lit(MAX_SHARD)).cast("int")
+    def start(s: Column) -> Column:
+        return F.coalesce(F.try_multiply(s, F.col("w")), F.when(s < 0, F.lit(-(2**63))).otherwise(F.lit(2**63 - 1)))
 
-    base = base.withColumn("s_lo", shard("lo")).withColumn("s_hi", shard("hi"))
-    start = lambda s: F.when(s <= 0, F.lit(None)).otherwise(s.cast("long") * width)
-    end = lambda s: F.when(s >= MAX_SHARD, F.lit(None)).otherwise((s.cast("long") + 1) * width)
+    def end(s: Column) -> Column:
+        return start(s + 1)
 
     head = F.struct(F.col("s_lo").alias("shard"), F.col("lo").alias("lo"), F.when(F.col("s_lo") == F.col("s_hi"), F.col("hi")).otherwise(end(F.col("s_lo"))).alias("hi"))
     tail = F.struct(F.col("s_hi").alias("shard"), start(F.col("s_hi")).alias("lo"), F.col("hi").alias("hi"))
     clips = base.select(*k, F.explode(F.when(F.col("s_lo") == F.col("s_hi"), F.array(head)).otherwise(F.array(head, tail))).alias("c")).select(*k, "c.*")
 
-    # Shards that some interval covers whole: runs of them are merged before they are listed.
-    runs = base.where("s_hi - s_lo > 1").groupBy(*k, (F.col("s_lo") + 1).alias("f")).agg(F.max(F.col("s_hi") - 1).alias("l"))
-    by_f = Window.partitionBy(*k).orderBy("f")
-    runs = runs.withColumn("seen", F.max("l").over(by_f.rowsBetween(Window.unboundedPreceding, -1)))
-    runs = runs.withColumn("f", F.greatest("f", F.col("seen") + 1)).where("f <= l")
-    filler = runs.select(*k, F.explode(F.sequence("f", "l")).alias("shard")).select(*k, "shard", start(F.col("shard")).alias("lo"), end(F.col("shard")).alias("hi"))
+    # Bridges: the shards between the two clips of an interval, all of them covered whole. Of equal starts the longest.
+    bridges = base.where("s_hi - s_lo > 1").groupBy(*k, (F.col("s_lo") + 1).alias("shard")).agg(F.max(F.col("s_hi") - 1).alias("upto"))
+    # The shards with clips that some bridge covers are covered whole too.
+    met = clips.select(*k, "shard", F.lit(None).cast("long").alias("upto")).distinct().unionByName(bridges)
+    reach = F.max("upto").over(Window.partitionBy(*k).orderBy("shard").rangeBetween(Window.unboundedPreceding, 0))
+    covered = met.withColumn("reach", reach).where(F.col("upto").isNull() & (F.col("reach") >= F.col("shard")))
+    covered = covered.select(*k, "shard", start(F.col("shard")).alias("lo"), end(F.col("shard")).alias("hi"))
 
     # One row per start, by partial aggregation; then the union inside each shard.
-    thin = clips.unionByName(filler).groupBy(*k, "shard", "lo").agg(F.max("hi").alias("hi"))
+    thin = clips.unionByName(covered).groupBy(*k, "shard", "lo").agg(F.max("hi").alias("hi"))
     in_shard = Window.partitionBy(*k, "shard").orderBy("lo")
     fresh = F.col("lo") > F.max("hi").over(in_shard.rowsBetween(Window.unboundedPreceding, -1))
     local = (
@@ -79,48 +82,43 @@ def merge_intervals(intervals: DataFrame, keys: Sequence[str], lo: str, hi: str,
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .withColumn("next_lo", F.lead("lo").over(in_shard))
         .withColumn("first", F.row_number().over(in_shard) == 1)
-        .withColumn("at_lo", F.coalesce(F.col("lo") == start(F.col("shard")), F.lit(False)))
-        .withColumn("at_hi", F.coalesce(F.col("hi") == end(F.col("shard")), F.lit(False)))
+        .withColumn("inner", (F.col("lo") != start(F.col("shard"))) & (F.col("hi") != end(F.col("shard"))))
     )
+    span = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("lo"), b.alias("hi"))
     # In the shard: pieces away from its boundaries are periods, and what lies between two pieces is a gap.
-    inner = local.select(
-        *k,
-        F.explode(
-            F.array(
-                F.when(~F.col("at_lo") & ~F.col("at_hi"), F.struct(F.lit("period").alias("kind"), F.col("lo"), F.col("hi"))),
-                F.when(F.col("next_lo").isNotNull(), F.struct(F.lit("gap").alias("kind"), F.col("hi").alias("lo"), F.col("next_lo").alias("hi"))),
-                # what the second level needs: pieces at a boundary, and the two ends of the shard's coverage
-                F.when(F.col("at_lo") | F.col("at_hi"), F.struct(F.lit("edge").alias("kind"), F.col("lo"), F.col("hi"))),
-                F.when(F.col("first"), F.struct(F.lit("open").alias("kind"), F.col("lo"), F.col("lo").alias("hi"))),
-                F.when(F.col("next_lo").isNull(), F.struct(F.lit("close").alias("kind"), F.col("hi").alias("lo"), F.col("hi"))),
-            )
-        ).alias("r"),
-        "shard",
-    ).where("r IS NOT NULL").select(*k, "shard", "r.*")
-
-    done = inner.where(F.col("kind").isin("period", "gap")).select(*k, "kind", "lo", "hi")
-    edges = inner.where(F.col("kind") == "edge")
-    by_lo = Window.partitionBy(*k).orderBy("lo", "hi")
+    done = local.select(*k, F.explode(F.array_compact(F.array(
+        F.when(F.col("inner"), span("period", F.col("lo"), F.col("hi"))),
+        F.when(F.col("next_lo").isNotNull(), span("gap", F.col("hi"), F.col("next_lo"))),
+    ))).alias("r")).select(*k, "r.*")
+    # For the second level: pieces at a boundary, and where the shard's coverage opens and closes.
+    ends = local.select(*k, F.explode(F.array_compact(F.array(
+        F.when(~F.col("inner"), span("piece", F.col("lo"), F.col("hi"))),
+        F.when(F.col("first"), span("open", F.col("lo"), F.col("lo"))),
+        F.when(F.col("next_lo").isNull(), span("shut", F.col("hi"), F.col("hi"))),
+    ))).alias("r")).select(*k, "r.*")
+    ends = ends.unionByName(bridges.select(*k, F.lit("piece").alias("kind"), start(F.col("shard")).alias("lo"), end(F.col("upto")).alias("hi")))
+
+    # At a place, what opens comes first: what reached it from a shard before has a piece that begins earlier. A gap ends where coverage opens beyond all that came before.
+    along = Window.partitionBy(*k).orderBy("lo", "kind", "hi")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    edge = F.col("kind") == "piece"
     stitched = (
-        edges.withColumn("fresh", F.coalesce(F.col("lo") > F.max("hi").over(by_lo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)).cast("int"))
-        .withColumn("run", F.sum("fresh").over(by_lo.rowsBetween(Window.unboundedPreceding, 0)))
+        ends.withColumn("seen", F.max("hi").over(before))
+        .withColumn("met", F.max(F.when(edge, F.col("hi"))).over(before))
+        .withColumn("is_gap", (F.col("kind") == "open") & F.coalesce(F.col("lo") > F.col("seen"), F.lit(False)))
+        .withColumn("fresh", (F.col("is_gap") | (edge & F.coalesce(F.col("lo") > F.col("met"), F.lit(True)))).cast("int"))
+        .withColumn("run", F.sum("fresh").over(along.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(*k, "run")
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        .select(*k, F.lit("period").alias("kind"), "lo", "hi")
-    )
-    ends = inner.where(F.col("kind").isin("open", "close")).groupBy(*k, "shard").agg(
-        F.min(F.when(F.col("kind") == "open", F.col("lo"))).alias("open"), F.max(F.when(F.col("kind") == "close", F.col("hi"))).alias("close")
-    )
-    between = (
-        ends.withColumn("next_open", F.lead("open").over(Window.partitionBy(*k).orderBy("shard")))
-        .where(F.col("next_open") > F.col("close"))
-        .select(*k, F.lit("gap").alias("kind"), F.col("close").alias("lo"), F.col("next_open").alias("hi"))
+        .agg(F.min(F.when(edge, F.col("lo"))).alias("p_lo"), F.max(F.when(edge, F.col("hi"))).alias("p_hi"), F.max(F.when(F.col("is_gap"), F.col("seen"))).alias("g_lo"), F.max(F.when(F.col("is_gap"), F.col("lo"))).alias("g_hi"))
     )
-    out = done.unionByName(stitched).unionByName(between)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(keys, k)], "kind", "lo", "hi")
+    stitched = stitched.select(*k, F.explode(F.array_compact(F.array(
+        F.when(F.col("p_lo").isNotNull(), span("period", F.col("p_lo"), F.col("p_hi"))),
+        F.when(F.col("g_lo").isNotNull(), span("gap", F.col("g_lo"), F.col("g_hi"))),
+    ))).alias("r")).select(*k, "r.*")
+    return done.unionByName(stitched).select(*[F.col(n).alias(c) for c, n in zip(keys, k)], "kind", "lo", "hi")
 
 
-def merge_positions(intervals: DataFrame, keys: Sequence[str], lo: str, hi: str, discrete: str, width: int = 600_000) -> DataFrame:
+def merge_positions(intervals: DataFrame, keys: Sequence[str], lo: str, hi: str, discrete: str, width: int | Column = 60_000) -> DataFrame:
     """As :func:`merge_intervals`, where rows with the boolean column ``discrete`` hold inclusive positions.
 
     Neighbouring positions then touch, and a gap runs from the first to the

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.sources.tables import cut
+
 
 def state(events: DataFrame, key: str, status: str, ts: str, seq: str) -> DataFrame:
     """key, status, at: by partial aggregation, so a key with a third of all events is no burden."""
@@ -62,7 +64,8 @@ def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     partitions' counts give the offsets, so no task holds all rows.
     """
     n = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranged = df.repartitionByRange(int(n), *order).withColumn("_p", F.spark_partition_id())
+    # Written once, as the number of a row's partition must be the same for both readers.
+    ranged = cut(df.repartitionByRange(int(n), *order).withColumn("_p", F.spark_partition_id()))
     ranged = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     before = ranged.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_b", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).drop("_n")
     return ranged.join(before, "_p").withColumn(name, F.col("_b") + F.col("_r")).drop("_p", "_r", "_b")

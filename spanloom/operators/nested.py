@@ -11,7 +11,7 @@ of one, leaves stay strings so that no wrong type loses a child.
 Defined results: a null list or record has no children; a null element gives
 no row but takes a position; an element that is no object likewise; a body
 that is null, empty, cut off, followed by anything else, or no JSON object has
-no children. Fields that are not asked for are never read.
+no children; envelopes and quoting are opened however deep they lie. Fields that are not asked for are never read.
 """
 
 from __future__ import annotations
@@ -93,6 +93,11 @@ def child_table(df: DataFrame, key: str, doc: str, path: Sequence[str], fields:
     return flatten(df, key, emit, doc, schema).withColumnRenamed("_key", key)
 
 
+def _once(col: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a column that is evaluated once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(col), f), F.lit(0))
+
+
 def _array_of(text: Column, struct: str) -> Column:
     """A JSON array of objects, a lone object, or an array with other things in it; else null."""
     plain = F.from_json(text, f"array<{struct}>", _STRICT)
@@ -102,47 +107,79 @@ def _array_of(text: Column, struct: str) -> Column:
 
 def _only(text: Column, of: str) -> Column:
     """The one complete JSON value of ``text``; null where there is none, or more than one."""
-    a = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{of}>", _STRICT)
-    return F.when(F.size(a) == 1, a[0])
-
-
-def _opened(df: DataFrame, key: str, body: str, names: Sequence[str], fields: Sequence[str], envelope: str, depth: int) -> DataFrame:
-    """Columns: _key and _got, the lists ``names`` and the ``fields`` of the document as strings; null where there is no document."""
-    top = "struct<" + ", ".join(f"`{n}`: string" for n in (envelope, *names, *fields)) + ">"
-    out = df.select(F.col(key).alias("_key"), F.col(body).alias("_text"), F.lit(None).cast(top).alias("_got"))
-    for _ in range(depth):
-        quoted = F.regexp_like("_text", F.lit(r"\A\s*\""))
-        out = out.withColumn("_text", F.when(quoted, _only(F.col("_text"), "string")).otherwise(F.col("_text")))
-        out = out.withColumn("_doc", _only(F.col("_text"), top))
-        wrapped = F.col("_doc")[envelope].isNotNull()
-        for n in names:
-            wrapped = wrapped & F.col("_doc")[n].isNull()
-        again = F.when(wrapped, F.col("_doc")[envelope]).when(quoted, F.col("_text"))
-        out = out.withColumn("_got", F.coalesce("_got", F.when(~wrapped, F.col("_doc")))).withColumn("_text", again)
-    return out
-
-
-def parent_table(df: DataFrame, key: str, body: str, lists: Sequence[str], fields: Sequence[str], envelope: str = "payload", depth: int = 3) -> DataFrame:
+    return _once(F.from_json(F.concat(F.lit('{"d":['), text, F.lit("]}")), f"struct<d:array<{of}>,_bad:string>", _STRICT | {"columnNameOfCorruptRecord": "_bad"}), lambda a: F.when(F.size(a["d"]) == 1, a["d"][0]))
+
+
+def _strings(names: Sequence[str]) -> str:
+    return "struct<" + ", ".join(f"`{n}`: string" for n in names) + ">"
+
+
+def opened(text: Column, names: Sequence[str], envelope: str) -> Column:
+    """The innermost document of a body: quoting and envelopes are opened until there is none left.
+
+    An envelope is an object with the field ``envelope`` and none of ``names``.
+    Each layer takes two characters at least, which bounds the steps of the
+    fold; steps after the last layer do nothing.
+    """
+    def quoted(t: Column) -> Column:
+        return F.regexp_like(t, F.lit(r'\A\s*"'))
+
+    def layer(text: Column, more: Column) -> Column:
+        return F.struct(text.alias("text"), more.alias("more"))
+
+    def open_object(t: Column) -> Column:
+        def inner(d: Column) -> Column:
+            wrapped = d[envelope].isNotNull()
+            for n in names:
+                wrapped = wrapped & d[n].isNull()
+            return F.when(wrapped, layer(d[envelope], F.lit(True))).otherwise(layer(t, F.lit(False)))
+
+        return _once(_only(t, _strings([envelope, *names])), inner)
+
+    def step(s: Column, _: Column) -> Column:
+        t = s["text"]
+        return F.when(~s["more"] | t.isNull(), s).when(quoted(t), layer(_only(t, "string"), F.lit(True))).otherwise(open_object(t))
+
+    steps = F.sequence(F.lit(1), F.floor(F.length(text) / 2).cast("int") + 1)
+    # a field's name may be written with escapes, so a text with any is looked into
+    may = quoted(text) | text.contains(f'"{envelope}"') | text.contains("\\u")
+    return F.when(may, F.aggregate(steps, layer(text, F.lit(True)), step, lambda s: s["text"])).otherwise(text)
+
+
+def parent_table(df: DataFrame, key: str, body: str, lists: Sequence[str], fields: Sequence[str], envelope: str = "payload") -> DataFrame:
     """The documents' own ``fields`` as strings, a row for each body that holds a document.
 
-    The envelope is opened as in :func:`parse_documents` with these ``lists``.
+    Envelopes are opened as in :func:`parse_documents` with these ``lists``.
     """
-    got = _opened(df, key, body, lists, fields, envelope, depth).where("_got IS NOT NULL")
-    return got.select(F.col("_key").alias(key), *[F.col("_got")[n].alias(n) for n in fields])
+    got = df.select(F.col(key).alias("_key"), _only(opened(F.col(body), lists, envelope), _strings(fields)).alias("_got"))
+    # as the element of an array the document is made once and not once a field
+    return got.select("_key", F.explode(F.array("_got")).alias("_got")).where("_got IS NOT NULL").select(F.col("_key").alias(key), *[F.col("_got")[n].alias(n) for n in fields])
 
 
-def parse_documents(df: DataFrame, key: str, body: str, lists: dict[str, dict[str, str]], leaf: dict[str, str], envelope: str = "payload", depth: int = 3) -> DataFrame:
+def parse_documents(df: DataFrame, key: str, body: str, lists: dict[str, dict[str, str]], leaf: dict[str, str], envelope: str = "payload") -> DataFrame:
     """Columns: the key and ``doc``, a struct of lists of structs of lists.
 
     ``lists`` names the document's lists and, for each, its own child lists
     with their type array<struct<...>>; ``leaf`` gives the scalar fields of each list's
-    elements as a DDL fragment. ``depth`` layers of envelope or
-    quoting are opened.
+    elements as a DDL fragment. All layers of envelopes and quoting are opened.
+
+    A document is parsed once to its full type. Where the parser reports
+    something of another shape (a lone object for a list, an element that is no
+    object), it is parsed again level by level.
     """
     names = list(lists)
-    out = _opened(df, key, body, names, (), envelope, depth)
-    cols = [_children(F.col("_got")[n], lists[n], leaf.get(n, "")).alias(n) for n in names]
-    return out.select(F.col("_key").alias(key), F.struct(*cols).alias("doc"))
+    kinds = {n: f"array<struct<{', '.join([*([leaf[n]] if leaf.get(n) else []), *[f'`{c}`: {t}' for c, t in lists[n].items()]])}>>" for n in names}
+    full = "struct<" + ", ".join(f"`{n}`: {t}" for n, t in kinds.items()) + ">"
+
+    def slowly(t: Column) -> Column:
+        return _once(_only(t, _strings(names)), lambda g: F.struct(*[_children(g[n], lists[n], leaf.get(n, "")).alias(n) for n in names]))
+
+    def document(t: Column) -> Column:
+        got = F.from_json(F.concat(F.lit('{"d":['), t, F.lit("]}")), f"struct<d:array<{full}>,_bad:string>", _STRICT | {"columnNameOfCorruptRecord": "_bad"})
+        good = lambda g: g["_bad"].isNull() & (F.size(g["d"]) == 1) & F.get(g["d"], F.lit(0)).isNotNull()
+        return _once(got, lambda g: F.when(good(g), F.get(g["d"], F.lit(0))).otherwise(slowly(t)))
+
+    return df.select(F.col(key).alias(key), _once(opened(F.col(body), names, envelope), document).alias("doc"))
 
 
 def _children(text: Column, kids: dict[str, str], leaf: str) -> Column:

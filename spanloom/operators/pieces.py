@@ -22,6 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Pieces of one block of the fold's result.
+_BLOCK = 256
+
+
 def split_sequence(df: DataFrame, key: str, parts: Column, limit: int) -> DataFrame:
     """Pieces of the items longer than ``limit``.
 
@@ -31,24 +35,31 @@ def split_sequence(df: DataFrame, key: str, parts: Column, limit: int) -> DataFr
     with the last part again if that part and its follower fit together.
     """
     a = F.array_sort(parts)
-    state = "struct<n:int, lo:bigint, hi:bigint, first:int, last:struct<lo:bigint,id:int,hi:bigint>, out:array<struct<first:int,last:int>>>"
-    zero = F.from_json(F.lit('{"n":0,"out":[]}'), state)
+    piece = "struct<first:int,last:int>"
+    state = f"struct<n:int, lo:bigint, hi:bigint, first:int, last:struct<lo:bigint,id:int,hi:bigint>, out:array<{piece}>, full:array<array<{piece}>>>"
+    zero = F.from_json(F.lit('{"n":0,"out":[],"full":[]}'), state)
+
+    def close(s: Column) -> Column:
+        """The pieces with the one in hand; every array is copied when it grows, so they are kept in blocks."""
+        one = F.struct(s["first"].alias("first"), s["last"]["id"].alias("last"))
+        return F.when(s["n"] == 0, F.struct(s["out"].alias("out"), s["full"].alias("full"))).when(
+            F.size(s["out"]) >= _BLOCK, F.struct(F.array(one).alias("out"), F.array_append(s["full"], s["out"]).alias("full"))
+        ).otherwise(F.struct(F.array_append(s["out"], one).alias("out"), s["full"].alias("full")))
 
     def step(s: Column, p: Column) -> Column:
         top = F.greatest(s["hi"], p["hi"])
         fits = (s["n"] > 0) & (top - s["lo"] <= limit)
         back = (s["n"] > 1) & (F.greatest(s["last"]["hi"], p["hi"]) - s["last"]["lo"] <= limit)
-        def be(n: Column, lo: Column, hi: Column, first: Column, out: Column) -> Column:
-            return F.struct(n.cast("int").alias("n"), lo.alias("lo"), hi.alias("hi"), first.alias("first"), p.alias("last"), out.alias("out"))
 
-        closed = F.when(s["n"] > 0, F.array_append(s["out"], F.struct(s["first"].alias("first"), s["last"]["id"].alias("last")))).otherwise(s["out"])
-        return (
-            F.when(fits, be(s["n"] + 1, s["lo"], top, s["first"], s["out"]))
-            .when(back, be(F.lit(2), s["last"]["lo"], F.greatest(s["last"]["hi"], p["hi"]), s["last"]["id"], closed))
-            .otherwise(be(F.lit(1), p["lo"], p["hi"], p["id"], closed))
-        )
+        def be(n: Column, lo: Column, hi: Column, first: Column, kept: Column) -> Column:
+            return F.struct(n.cast("int").alias("n"), lo.alias("lo"), hi.alias("hi"), first.alias("first"), p.alias("last"), kept["out"].alias("out"), kept["full"].alias("full"))
+
+        def cut(kept: Column) -> Column:
+            return F.when(back, be(F.lit(2), s["last"]["lo"], F.greatest(s["last"]["hi"], p["hi"]), s["last"]["id"], kept)).otherwise(be(F.lit(1), p["lo"], p["hi"], p["id"], kept))
+
+        return F.when(fits, be(s["n"] + 1, s["lo"], top, s["first"], s)).otherwise(F.get(F.transform(F.array(close(s)), cut), F.lit(0)))
 
-    end = lambda s: F.when(s["n"] > 0, F.array_append(s["out"], F.struct(s["first"].alias("first"), s["last"]["id"].alias("last")))).otherwise(s["out"])
+    end = lambda s: F.flatten(F.transform(F.array(close(s)), lambda x: F.concat(F.flatten(x["full"]), x["out"])))
     long_ones = df.select(F.col(key).alias("_key"), a.alias("_a")).where(F.size("_a") > 0).where(F.array_max(F.transform("_a", lambda p: p["hi"])) - F.col("_a")[0]["lo"] > limit)
     pieces = long_ones.select("_key", F.posexplode(F.aggregate("_a", zero, step, end)).alias("_p", "_x"))
     return pieces.select(F.col("_key").alias(key), (F.col("_p") + 1).alias("piece_no"), F.col("_x.first").alias("first_part"), F.col("_x.last").alias("last_part"))

@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.sources.tables import cut
+
 
 def compress(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """One row per (key, value) with its weight: columns k0.., value, weight."""
@@ -31,48 +33,37 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame
     return out.select(*[F.col(n).alias(c) for n, c in zip(k, keys)], "n_rows", "n_distinct")
 
 
-def profile(df: DataFrame, keys: Sequence[str], value: str, at: float = 0.5, buckets: int = 1024) -> DataFrame:
+def profile(df: DataFrame, keys: Sequence[str], value: str, at: float = 0.5) -> DataFrame:
     """Columns ``keys``, n_rows, n_values, n_distinct, mode, mode_rows, low, high, quantile.
 
     ``quantile`` is the smallest value whose cumulative weight reaches
-    ``at`` x the weight of all non-null values. Values are numbers. To find it
-    in a hot key without sorting the key in one task, values fall into
-    ``buckets`` equal ranges between the key's extremes; the bucket that holds
-    the rank is found from at most ``buckets`` sums per key, and only that
-    bucket's values are ordered.
+    ``at`` x the weight of all non-null values. To find it in a hot key
+    without sorting the key in one task, the weighted values are
+    range-partitioned by (key, value), whose bounds are quantiles of the rows
+    themselves, so outliers do no harm; a key's sums per partition tell which
+    one holds the rank, and only that one's part of the key is ordered.
     """
     k = [f"k{i}" for i in range(len(keys))]
-    c = compress(df, keys, value)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written once, as the number of a row's partition must be the same for both readers.
+    c = cut(compress(df, keys, value).repartitionByRange(n, *k, "value").withColumn("_p", F.spark_partition_id()))
     mode = F.max_by(F.struct("value", "weight"), F.struct(F.when(F.col("value").isNotNull(), F.col("weight")).alias("w"), (-F.col("value").cast("double")).alias("v")))
-    totals = c.groupBy(*k).agg(
-        F.sum("weight").alias("n_rows"),
-        F.sum(F.when(F.col("value").isNotNull(), F.col("weight")).otherwise(0)).alias("n_values"),
-        F.count("value").alias("n_distinct"),
-        mode.alias("m"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-    )
-    same = [F.col(f"c.{n}").eqNullSafe(F.col(f"t.{n}")) for n in k]
-    span = F.col("high").cast("double") - F.col("low").cast("double")
-    placed = (
-        c.where("value IS NOT NULL").alias("c")
-        .join(totals.alias("t"), same)
-        .select(*[F.col(f"c.{n}").alias(n) for n in k], "value", "weight", "n_values",
-                F.when(span > 0, F.least(F.floor((F.col("value").cast("double") - F.col("low").cast("double")) / span * buckets), F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int").alias("b"))
-    )
-    sums = placed.groupBy(*k, "b").agg(F.sum("weight").alias("w"), F.max("n_values").alias("n"))
-    upto = Window.partitionBy(*k).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    target = F.ceil(F.col("n") * F.lit(float(at)))
-    holds = sums.withColumn("to", F.sum("w").over(upto)).withColumn("target", F.greatest(target, F.lit(1))).where((F.col("to") >= F.col("target")) & (F.col("to") - F.col("w") < F.col("target")))
-    inside = Window.partitionBy(*[f"p.{n}" for n in k]).orderBy("p.value").rowsBetween(Window.unboundedPreceding, 0)
+    real = F.when(F.col("value").isNotNull(), F.col("weight")).otherwise(0)
+    parts = c.groupBy(*k, "_p").agg(F.sum("weight").alias("rows"), F.sum(real).alias("w"), F.count("value").alias("d"), mode.alias("m"), F.min("value").alias("low"), F.max("value").alias("high"))
+    best = F.max_by("m", F.struct(F.when(F.col("m.value").isNotNull(), F.col("m.weight")).alias("w"), (-F.col("m.value").cast("double")).alias("v")))
+    totals = parts.groupBy(*k).agg(F.sum("rows").alias("n_rows"), F.sum("w").alias("n_values"), F.sum("d").alias("n_distinct"), best.alias("m"), F.min("low").alias("low"), F.max("high").alias("high"))
+    upto = Window.partitionBy(*k).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    holds = parts.withColumn("to", F.sum("w").over(upto)).withColumn("target", F.greatest(F.ceil(F.sum("w").over(Window.partitionBy(*k)) * F.lit(float(at))), F.lit(1)))
+    holds = holds.where((F.col("to") >= F.col("target")) & (F.col("to") - F.col("w") < F.col("target"))).select(*k, "_p", (F.col("to") - F.col("w")).alias("before"), "target")
+    inside = Window.partitionBy(*[f"p.{x}" for x in k]).orderBy("p.value").rowsBetween(Window.unboundedPreceding, 0)
     found = (
-        placed.alias("p")
-        .join(holds.alias("h"), [F.col(f"p.{n}").eqNullSafe(F.col(f"h.{n}")) for n in k] + [F.col("p.b") == F.col("h.b")])
-        .withColumn("reach", F.col("h.to") - F.col("h.w") + F.sum("p.weight").over(inside))
+        c.where("value IS NOT NULL").alias("p")
+        .join(holds.alias("h"), [F.col(f"p.{x}").eqNullSafe(F.col(f"h.{x}")) for x in k] + [F.col("p._p") == F.col("h._p")])
+        .withColumn("reach", F.col("h.before") + F.sum("p.weight").over(inside))
         .where(F.col("reach") >= F.col("target"))
-        .groupBy(*[F.col(f"p.{n}").alias(n) for n in k])
+        .groupBy(*[F.col(f"p.{x}").alias(x) for x in k])
         .agg(F.min("p.value").alias("quantile"))
     )
-    out = totals.alias("t").join(found.alias("f"), [F.col(f"t.{n}").eqNullSafe(F.col(f"f.{n}")) for n in k], "left")
-    return out.select(*[F.col(f"t.{n}").alias(x) for n, x in zip(k, keys)], "n_rows", "n_values", "n_distinct",
+    out = totals.alias("t").join(found.alias("f"), [F.col(f"t.{x}").eqNullSafe(F.col(f"f.{x}")) for x in k], "left")
+    return out.select(*[F.col(f"t.{x}").alias(y) for x, y in zip(k, keys)], "n_rows", "n_values", "n_distinct",
                       F.when(F.col("n_values") > 0, F.col("m.value")).alias("mode"), F.when(F.col("n_values") > 0, F.col("m.weight")).alias("mode_rows"), "low", "high", "quantile")

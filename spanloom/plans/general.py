@@ -25,7 +25,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
         F.struct(F.lit("time").alias("axis"), F.lit(False).alias("positions"), intervals.whole(F.col("start"), 1000).alias("lo"), intervals.whole(F.col("end"), 1000).alias("hi")),
     )
     rows = m.select("transcript_id", F.explode(axes).alias("a")).select("transcript_id", "a.*")
-    out = intervals.merge_positions(rows, ["transcript_id", "axis"], "lo", "hi", "positions")
+    width = F.when(F.col("positions"), 256).otherwise(60_000)  # words, and milliseconds
+    out = intervals.merge_positions(rows, ["transcript_id", "axis"], "lo", "hi", "positions", width)
     return out.select("transcript_id", "axis", "kind", "lo", "hi")
 
 
@@ -113,6 +114,48 @@ def p4_words(spark: SparkSession, d: str) -> DataFrame:
     return nested.child_table(t, "transcript_id", "doc", ["segments", "words"], fields)
 
 
+# The documents of the bodies: one layer of envelope or quoting a step, until none is left.
+_DOCS_SQL = """
+u AS (
+  SELECT record_id, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS j, true AS more FROM raw_records
+  UNION ALL
+  SELECT record_id,
+    CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j ->> '$') THEN CAST(j ->> '$' AS JSON) END
+         WHEN json_type(j) = 'OBJECT' AND coalesce(json_type(j, '$.payload'), 'NULL') <> 'NULL' AND coalesce(json_type(j, '$.segments'), 'NULL') = 'NULL' AND coalesce(json_type(j, '$.matches'), 'NULL') = 'NULL' THEN j -> '$.payload'
+         ELSE j END,
+    json_type(j) = 'VARCHAR' OR (json_type(j) = 'OBJECT' AND coalesce(json_type(j, '$.payload'), 'NULL') <> 'NULL' AND coalesce(json_type(j, '$.segments'), 'NULL') = 'NULL' AND coalesce(json_type(j, '$.matches'), 'NULL') = 'NULL')
+  FROM u WHERE more AND j IS NOT NULL
+),
+docs AS (SELECT record_id, j AS d FROM u WHERE NOT more AND json_type(j) = 'OBJECT')
+"""
+
+
+def _sql_children(parent: str, up: str, column: str, path: str) -> str:
+    """record_id, parent_pos, pos, e of the objects at a path; a lone object is its list's element 0."""
+    at = f"{column} -> '$.{path}'"
+    a = f"CASE WHEN json_type({at}) = 'ARRAY' THEN from_json({at}, '[\"json\"]') WHEN json_type({at}) = 'OBJECT' THEN [{at}] END"
+    return f"SELECT * FROM (SELECT record_id, CAST({up} AS INT) AS parent_pos, CAST(unnest(range(len({a}))) AS INT) AS pos, unnest({a}) AS e FROM {parent}) WHERE json_type(e) = 'OBJECT'"
+
+
+_NODES_SQL = f"""
+WITH RECURSIVE {_DOCS_SQL},
+seg AS ({_sql_children("docs", "-1", "d", "segments")}),
+mat AS ({_sql_children("docs", "-1", "d", "matches")}),
+wor AS ({_sql_children("seg", "pos", "e", "words")}),
+sem AS ({_sql_children("seg", "pos", "e", "matches")})
+"""
+P4_SQL = _NODES_SQL + " UNION ALL ".join(f"SELECT record_id, '{node}' AS node, parent_pos, pos FROM {t}" for node, t in (("segment", "seg"), ("word", "wor"), ("match", "mat"), ("segment_match", "sem")))
+
+
+def _sql_fields(fields: list[tuple[str, str]], column: str) -> str:
+    kinds = {"string": "VARCHAR", "int": "INT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    return ", ".join(f"""TRY_CAST({column} ->> '$.{n}' AS {kinds[t]}) AS "{n}\"""" for n, t in fields)
+
+
+def _sql_table(t: str, fields: list[tuple[str, str]]) -> str:
+    return f"{_NODES_SQL} SELECT record_id, parent_pos, pos, {_sql_fields(fields, 'e')} FROM {t}"
+
+
 P4_WORDS_SQL = """
 WITH s AS (SELECT transcript_id, unnest(segments) AS s, generate_subscripts(segments, 1) - 1 AS parent_pos FROM transcripts),
 w AS (SELECT transcript_id, parent_pos, unnest(s.words) AS w, generate_subscripts(s.words, 1) - 1 AS pos FROM s)
@@ -193,4 +236,4 @@ FROM n LEFT JOIN m ON m.primary_surah IS NOT DISTINCT FROM n.primary_surah AND m
 """
 
 QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found, "p4_parents": p4_parents, "p4_segment_words": p4_segment_words, "p4_segment_matches": p4_segment_matches, "p4_segments": p4_segments, "p4_matches": p4_matches, "p4_words": p4_words, "p6_found": p6_found, "p6_texts": p6_texts, "p7_found": p7_found, "p7_matches": p7_matches}
-ORACLES: dict[str, str] = {"p1_found": P1_SQL, "p4_words": P4_WORDS_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL, "p7_matches": P7_MATCHES_SQL}
+ORACLES: dict[str, str] = {"p1_found": P1_SQL, "p4_words": P4_WORDS_SQL, "p4_found": P4_SQL, "p4_segments": _sql_table("seg", SEGMENT_FIELDS), "p4_segment_words": _sql_table("wor", WORD_FIELDS), "p4_matches": _sql_table("mat", MATCH_FIELDS), "p4_segment_matches": _sql_table("sem", MATCH_FIELDS), "p4_parents": f"WITH RECURSIVE {_DOCS_SQL} SELECT record_id, {_sql_fields(DOC_FIELDS, 'd')} FROM docs", "p6_found": P6_SQL, "p7_found": P7_SQL, "p7_matches": P7_MATCHES_SQL}

@@ -44,9 +44,27 @@ def test_against_brute_force_in_many_shards(spark):
         assert run(spark, rows, bool(touch), 10) == brute(rows, touch)
 
 
-def test_values_beyond_the_last_shard(spark):
-    rows = [("a", -(10**15), -5), ("a", 10**15, 2 * 10**15), ("a", 3 * 10**15, 3 * 10**15), ("a", 10**14, 10**15)]
+def test_coordinates_far_apart_stay_in_shards_of_their_own(spark):
+    rows = [("a", -(10**15), -5), ("a", 10**15, 2 * 10**15), ("a", 3 * 10**15, 3 * 10**15), ("a", 10**14, 10**15), ("a", 5, 7)]
+    rows += [("b", -(2**63), -(2**63) + 5), ("b", 2**63 - 9, 2**63 - 2), ("b", 0, 0)]
     assert run(spark, rows, False, 10) == brute(rows, 0)
+    rnd = random.Random(3)  # epoch milliseconds over more than 10^5 shards, with intervals over many and over few
+    rows = []
+    for k in ("c", "d"):
+        for _ in range(200):
+            lo = 1_600_000_000_000 + rnd.randrange(100_000) * 60_000 + rnd.randrange(60_000)
+            rows.append((k, lo, lo + rnd.choice([0, 5_000, 90_000, 40_000_000])))
+    rows += [("c", 1_600_000_060_000, 1_600_000_120_000), ("c", 1_600_000_120_000, 1_600_000_120_000), ("d", 1_599_999_999_999, 1_599_999_999_999)]
+    for touch in (0, 1):
+        assert run(spark, rows, bool(touch), 60_000) == brute(rows, touch)
+
+
+def test_points_and_boundaries(spark):
+    rnd = random.Random(9)
+    for w in (1, 2, 5):
+        rows = [(k, lo := rnd.randrange(60), lo + rnd.choice([0, 0, 0, 1, 5, 12])) for k in "abcdefgh" for _ in range(6)]
+        for touch in (0, 1):
+            assert run(spark, rows, bool(touch), w) == brute(rows, touch)
 
 
 def test_empty_input(spark):

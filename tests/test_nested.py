@@ -7,7 +7,7 @@ from spanloom.plans import general
 
 
 def unwrap(d):
-    for _ in range(6):
+    for _ in range(40):
         if isinstance(d, str):
             d = json.loads(d)
         elif isinstance(d, dict) and d.get("payload") is not None and d.get("segments") is None and d.get("matches") is None:
@@ -46,6 +46,14 @@ def test_bodies_of_every_shape(spark, tmp_path):
         "", "   ", "null", "[]", "5", '"x"', None, "{'segments': [{}]}", '{"segments": [{}, 5, "x", [1], {"words": 5}]}', '{"segments": "x"}', '{"segments": null}', "\n " + text, '{"meta": {"segments": [{}]}}',
         json.dumps(plain, indent=1), json.dumps({"segments": [{"text": "نص", "words": []}]}), '{"segments": [{"words": [{"word": {"deep": [1, {"words": [{}]}]}}]}]}',
     ]
+    six, quoted = one, text
+    for _ in range(6):
+        six = {"version": 1, "payload": six}
+        quoted = json.dumps(quoted)
+    both = text
+    for i in range(9):
+        both = json.dumps({"payload": both} if i % 2 else both)
+    bodies += [json.dumps(six), quoted, both, both[:-3], '{"p\\u0061yload": {"segments": [{}, {}]}}', '{"payload": {"payload": null}}', '{"payload": "payload"}', '{"segments": [{}]}], "d": 5']
     rows = list(enumerate(bodies))
     spark.createDataFrame(rows, "record_id long, body string").write.parquet(f"{tmp_path}/raw_records.parquet")
     got = general.p4_found(spark, str(tmp_path)).collect()
