@@ -6,9 +6,11 @@ length. In each round every row looks up the ranks of its adjacent pairs in a
 hash table, merges its leftmost pair of minimum rank and closes the gap; rows
 without a mergeable pair are finished and leave the matrix.
 
-In rows over ``LONG`` bytes a round also merges the later, non-overlapping
-places of that same pair, so that a text without spaces does not take as many
-rounds as it has characters.
+The round goes on to the right with the later places of that rank as long as
+the next rounds would do just that: merging one place makes two new pairs, and
+while neither has a smaller rank, the next place of the rank is again the
+leftmost pair of minimum rank. A place whose merge makes a smaller pair is the
+last of its row's round. So rows of any length come out as by single merges.
 
 Defined results: a null or empty text has an empty list; strings that look
 like special tokens are ordinary text; a text of any length is encoded whole.
@@ -27,7 +29,6 @@ from pyspark.sql import DataFrame
 # Fixed value: the pattern that cuts texts into pieces, as published with the byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 DEFAULT = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-LONG = 64
 NONE = np.int32(2**31 - 1)
 #: Bounds of a worker's memory: pieces remembered, characters of text in work.
 MOST_PIECES, CHARS = 200_000, 4_000_000
@@ -96,6 +97,28 @@ class Vocabulary:
             i = j
         return out
 
+    def _places(self, m: np.ndarray, ranks: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Where this round merges: see the module's text."""
+        merge = np.zeros(m.shape, bool)
+        same = ranks == best[:, None]
+        place = np.arange(same.shape[1])
+        last = np.maximum.accumulate(np.where(same, -1, place), axis=1)
+        merge[:, :-1] = same & ((place - last) % 2 == 1)
+        row, at = np.nonzero(merge)
+        if len(row) == len(m):
+            return merge
+        token = best[row]
+        # the neighbours as they are when the places to the left are merged and those to the right are not
+        left = np.where(at > 0, m[row, at - 1], -1)
+        left = np.where((at > 1) & merge[row, at - 2], token, left)
+        right = np.where(at + 2 < m.shape[1], m[row, np.minimum(at + 2, m.shape[1] - 1)], -1)
+        smaller = np.minimum(self.rank(left, token), self.rank(token, right)) < token
+        if smaller.any():
+            stop = np.full(len(m), m.shape[1])
+            np.minimum.at(stop, row[smaller], at[smaller])
+            merge &= np.arange(m.shape[1]) <= stop[:, None]
+        return merge
+
     def _bucket(self, pieces: list[bytes], rows: np.ndarray, width: int, out: list[np.ndarray]) -> None:
         size = np.array([len(pieces[r]) for r in rows])
         m = np.full((len(rows), width), -1, np.int32)
@@ -110,14 +133,7 @@ class Vocabulary:
                 rows, m, ranks, best = rows[~over], m[~over], ranks[~over], best[~over]
             if not len(rows):
                 return
-            merge = np.zeros(m.shape, bool)
-            if width <= LONG:
-                merge[np.arange(len(m)), ranks.argmin(1)] = True
-            else:
-                same = ranks == best[:, None]
-                place = np.arange(same.shape[1])
-                last = np.maximum.accumulate(np.where(same, -1, place), axis=1)
-                merge[:, :-1] = same & ((place - last) % 2 == 1)
+            merge = self._places(m, ranks, best)
             m = np.where(merge, best[:, None], m)
             keep = m >= 0
             keep[:, 1:] &= ~merge[:, :-1]

@@ -10,7 +10,9 @@ Three levels of sameness, each a pure function of the text:
 
 Most of the prototypes come from rules (compatibility decompositions for
 full-width and presentation forms, separators for spaces, format characters
-for invisible ones); the tables below hold what no rule gives.
+for invisible ones), for characters of every plane; the tables below hold what
+no rule gives, and a file in the form of the public confusables table may be
+given for the rest.
 """
 
 from __future__ import annotations
@@ -29,6 +31,11 @@ LATIN_LOOKS = {
     "օ": "o", "Օ": "O", "ս": "u", "Տ": "S", "Ս": "U", "Լ": "L", "հ": "h", "ո": "n", "ռ": "n", "ց": "g", "զ": "q", "գ": "q", "յ": "j", "ա": "w",
     "α": "a", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "υ": "u", "ϲ": "c", "ϳ": "j",
 }
+# Letters of Lisu, Cherokee and Coptic, and signs, that look like a Latin one.
+LISU_LOOKS = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU", strict=True))
+CHEROKEE_LOOKS = dict(zip("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏃᏎᏏᏒᏔᏙᏚᏞᏟᏢᏦᏧᏳᏴ", "DRTiYAJEWMHYGZ4bRWVSLCPKdGB", strict=True))
+COPTIC_LOOKS = dict(zip("ⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥ", "HIKMNOPCTYXopc", strict=True))
+SIGN_LETTERS = {"℮": "e", "ſ": "f", "ℓ": "l", "ɪ": "i", "ɴ": "N", "ʀ": "R", "ʟ": "L", "ʜ": "H", "ɢ": "G", "ʙ": "B", "ᴀ": "A", "ᴅ": "D", "ᴇ": "E", "ᴊ": "J", "ᴋ": "K", "ᴍ": "M", "ᴘ": "P", "ᴛ": "T", "ᴜ": "U"}
 # Letters of other Arabic alphabets that look like one of Arabic.
 ARABIC_LOOKS = {"ی": "ي", "ے": "ي", "ې": "ي", "ک": "ك", "ڪ": "ك", "ہ": "ه", "ھ": "ه", "ە": "ه", "ۀ": "ه", "ۃ": "ة", "ۇ": "و", "ۆ": "و", "ں": "ن", "ٮ": "ب", "ڡ": "ف", "ٯ": "ق", "ۍ": "ي", "ٲ": "أ", "ٳ": "إ"}
 # The Persian digits look like the Arabic ones.
@@ -54,46 +61,68 @@ ORDINARY = (
 )
 
 
-def _prototype(ch: str) -> str:
-    """What ``ch`` looks like; itself where it looks like nothing else, '' where it is invisible."""
-    kind = unicodedata.category(ch)
-    if ch in ARABIC_LOOKS:
-        return ARABIC_LOOKS[ch]
-    if ch in LATIN_LOOKS:
-        return LATIN_LOOKS[ch]
-    if ch in SIGN_LOOKS:
-        return SIGN_LOOKS[ch]
-    if kind == "Cf" or ch in BLANK or 0xFE00 <= ord(ch) <= 0xFE0F or (kind == "Cc" and ch not in "\n\r\t"):
-        return ""
-    if kind in ("Zs", "Zl", "Zp"):
-        return " "
-    wide = unicodedata.decomposition(ch)
-    if wide.startswith("<") and wide.split(">")[0] in ("<wide", "<narrow", "<initial", "<medial", "<final", "<isolated", "<font", "<circle", "<compat"):
-        looks = unicodedata.normalize("NFKC", ch)
-        return "".join(_prototype(c) for c in looks) if looks != ch else ch
-    return ch
+#: The look-alikes of the tables above.
+LOOKS = SIGN_LETTERS | COPTIC_LOOKS | CHEROKEE_LOOKS | LISU_LOOKS | SIGN_LOOKS | LATIN_LOOKS | ARABIC_LOOKS
+# The kinds of compatibility decompositions that keep the look of a character.
+SAME_LOOK = ("<wide", "<narrow", "<initial", "<medial", "<final", "<isolated", "<font", "<circle", "<compat", "<square", "<small", "<vertical", "<noBreak")
 
 
-@lru_cache(maxsize=4)
-def _table(keep: str) -> dict[int, str]:
-    """The look-alike table; the characters of ``keep`` and the ordinary ones stand for themselves."""
-    own = ORDINARY | set(keep)
+def load_confusables(path: str) -> dict[str, str]:
+    """A look-alike table in the form of the Unicode consortium's confusables.txt: source ; prototype ; kind # note."""
     out = {}
-    for cp in (*range(0xD800), *range(0xE000, 0x10000), *range(0x1D400, 0x1D800), *range(0x1EE00, 0x1EF00), *range(0xE0000, 0xE1000)):
+    with open(path, encoding="utf-8-sig") as f:
+        for line in f:
+            parts = line.split("#")[0].split(";")
+            if len(parts) >= 2:
+                out["".join(chr(int(x, 16)) for x in parts[0].split())] = "".join(chr(int(x, 16)) for x in parts[1].split())
+    return {a: b for a, b in out.items() if len(a) == 1}
+
+
+class Prototypes(dict):
+    """Code point -> decomposed prototype, of every plane, filled as characters are met.
+
+    The characters of ``keep`` and the ordinary ones stand for themselves.
+    ``more`` are look-alikes besides those of this module; they come first.
+    """
+
+    def __init__(self, keep: str, more: dict[str, str] | None = None) -> None:
+        super().__init__()
+        self.own, self.looks = ORDINARY | set(keep), LOOKS | (more or {})
+
+    def __missing__(self, cp: int) -> int | str:
         ch = chr(cp)
-        if ch not in own and (p := _prototype(ch)) != ch:
-            out[cp] = unicodedata.normalize("NFD", p)
-    return out
+        p = ch if ch in self.own else self._of(ch)
+        got = self[cp] = cp if p == ch else unicodedata.normalize("NFD", p)
+        return got
+
+    def _of(self, ch: str) -> str:
+        """What ``ch`` looks like; itself where it looks like nothing else, '' where it is invisible."""
+        kind = unicodedata.category(ch)
+        if ch in self.looks:
+            return self.looks[ch]
+        if kind == "Cf" or ch in BLANK or 0xFE00 <= ord(ch) <= 0xFE0F or 0xE0100 <= ord(ch) <= 0xE01EF or (kind == "Cc" and ch not in "\n\r\t"):
+            return ""
+        if kind in ("Zs", "Zl", "Zp"):
+            return " "
+        if unicodedata.decomposition(ch).startswith(SAME_LOOK):
+            looks = unicodedata.normalize("NFKC", ch)
+            return "".join(c if c in self.own else self._of(c) for c in looks) if looks != ch else ch
+        return ch
+
+
+@lru_cache(maxsize=8)
+def _table(keep: str, confusables: str | None = None) -> Prototypes:
+    return Prototypes(keep, load_confusables(confusables) if confusables else None)
 
 
-def skeleton(text: str, keep: str = "") -> str:
-    """Decompose, replace every character by its prototype, decompose again."""
-    return unicodedata.normalize("NFD", unicodedata.normalize("NFD", text).translate(_table(keep)))
+def skeleton(text: str, keep: str = "", confusables: str | None = None) -> str:
+    """Decompose, replace every character by its prototype, decompose again. ``confusables`` is a file for :func:`load_confusables`."""
+    return unicodedata.normalize("NFD", unicodedata.normalize("NFD", text).translate(_table(keep, confusables)))
 
 
-def ordinary(text: str, keep: str = "") -> str:
+def ordinary(text: str, keep: str = "", confusables: str | None = None) -> str:
     """The text in its consistent form."""
-    return unicodedata.normalize("NFC", skeleton(text, keep))
+    return unicodedata.normalize("NFC", skeleton(text, keep, confusables))
 
 
 @lru_cache(maxsize=4)
@@ -102,7 +131,7 @@ def _suspect(keep: str) -> re.Pattern:
     return re.compile("[^" + re.escape("".join(sorted(ORDINARY | set(keep)))) + "]")
 
 
-def is_odd(text: str, keep: str = "") -> bool:
+def is_odd(text: str, keep: str = "", confusables: str | None = None) -> bool:
     """Whether the text differs from its consistent form.
 
     A text of ordinary characters in composed form is its own consistent form,
@@ -110,7 +139,7 @@ def is_odd(text: str, keep: str = "") -> bool:
     """
     if not _suspect(keep).search(text):
         return not (text.isascii() or unicodedata.is_normalized("NFC", text))
-    return ordinary(text, keep) != text
+    return ordinary(text, keep, confusables) != text
 
 
 _NON_WORD = re.compile(r"[^\w]|_", re.UNICODE)

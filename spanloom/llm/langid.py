@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 PER_LANGUAGE, ROUNDS = 2000, 60
 CELLS = 400_000
 
-_MARKUP = re.compile(r"<[^<>]{0,300}>|&#?\w{1,10};|https?://\S+|www\.\S+|\S+@\S+")
+# A tag of any length begins with its name; a lone "<" between words is none.
+_MARKUP = re.compile(r"</?[A-Za-z!?][^<>]*>|&#?\w{1,10};|https?://\S+|www\.\S+|\S+@\S+")
 
 
 def fold(piece: str) -> str:

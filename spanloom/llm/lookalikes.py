@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from spanloom.llm import forms
 
 
-def consistent(df: DataFrame, keys: Sequence[str], text: str, wider: str, only_odd: bool, with_form: bool) -> DataFrame:
+def consistent(df: DataFrame, keys: Sequence[str], text: str, wider: str, only_odd: bool, with_form: bool, confusables: str | None = None) -> DataFrame:
     """Columns ``keys``, odd, and with ``with_form`` text, form and skeleton.
 
     ``wider`` is a boolean column: whether the Persian and Urdu letters and
     joiners are ordinary in the row. ``only_odd`` keeps the rows that were not
-    in their consistent form.
+    in their consistent form. ``confusables`` is a file with more look-alikes
+    (:func:`forms.load_confusables`) that all executors can read.
     """
     types = dict(df.dtypes)
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "odd boolean", *(["text string", "form string", "skeleton string"] if with_form else [])])
@@ -30,13 +31,13 @@ def consistent(df: DataFrame, keys: Sequence[str], text: str, wider: str, only_o
         for b in batches:
             n = len(keys)
             texts, wide = b.column(n).to_pylist(), b.column(n + 1).to_pylist()
-            odd = [forms.is_odd(t, forms.PERSIAN_URDU if w else "") for t, w in zip(texts, wide)]
+            odd = [forms.is_odd(t, forms.PERSIAN_URDU if w else "", confusables) for t, w in zip(texts, wide)]
             at = pa.array([i for i, x in enumerate(odd) if x or not only_odd], pa.int64())
             cols = [b.column(i).take(at) for i in range(n)] + [pa.array(odd).take(at) if len(odd) else pa.array([], pa.bool_())]
             names = [*keys, "odd"]
             if with_form:
                 picked = [(texts[i], forms.PERSIAN_URDU if wide[i] else "") for i in at.to_pylist()]
-                cols += [pa.array([t for t, _ in picked], pa.string()), pa.array([forms.ordinary(t, k) for t, k in picked], pa.string()), pa.array([forms.skeleton(t) for t, _ in picked], pa.string())]
+                cols += [pa.array([t for t, _ in picked], pa.string()), pa.array([forms.ordinary(t, k, confusables) for t, k in picked], pa.string()), pa.array([forms.skeleton(t, "", confusables) for t, _ in picked], pa.string())]
                 names += ["text", "form", "skeleton"]
             yield pa.record_batch(cols, names=names)
 

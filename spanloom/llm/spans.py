@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from spanloom.sources.tables import cut
 
 TEXT = ["field_name", "owner", "item"]
+#: Passages are hot that hold more than one in HOT of all rows; tasks that a hot passage is dealt over.
+HOT, SALTS = 1000, 64
 
 
 def words_of(text: Column) -> Column:
@@ -32,9 +34,21 @@ def words_of(text: Column) -> Column:
 
 
 def _in_other_owner(windows: DataFrame) -> DataFrame:
-    """The windows (h1, h2, ...) that also occur in another owner."""
-    both = windows.groupBy("h1", "h2").agg(F.min("owner").alias("a"), F.max("owner").alias("b")).where("a < b").select("h1", "h2")
-    return windows.join(both, ["h1", "h2"], "left_semi")
+    """The windows (h1, h2, ...) that also occur in another owner.
+
+    A passage that many texts have is one row on one side, but a row of each
+    of them on the other. Passages with more than one in ``HOT`` of all rows
+    are at most ``HOT`` in number, so their list may be broadcast; their rows
+    are dealt over ``SALTS`` tasks by text, and so are copies of their one row.
+    """
+    both = cut(windows.groupBy("h1", "h2").agg(F.min("owner").alias("a"), F.max("owner").alias("b"), F.count("*").alias("n")).where("a < b").select("h1", "h2", "n"))
+    all_rows = both.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    hot = F.broadcast(both.where(F.col("n") * HOT > all_rows.scalar()).select(F.col("h1").alias("x1"), F.col("h2").alias("x2")))
+    at = (F.col("h1") == F.col("x1")) & (F.col("h2") == F.col("x2"))
+    salt = lambda s: F.when(F.col("x1").isNotNull(), s).otherwise(F.lit(0))
+    dealt = windows.join(hot, at, "left").withColumn("salt", salt(F.pmod(F.xxhash64(*TEXT), F.lit(SALTS)).cast("int")))
+    once = both.select("h1", "h2").join(hot, at, "left").select("h1", "h2", F.explode(F.when(F.col("x1").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    return dealt.join(once, ["h1", "h2", "salt"], "left_semi").drop("salt", "x1", "x2")
 
 
 def _wider(windows: DataFrame, by: int) -> DataFrame:

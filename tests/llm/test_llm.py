@@ -180,7 +180,7 @@ def test_leaks(spark):
                 want[d, i] = (best[0], -best[1])
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     it = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.item_id): (r.n_words, r.at_word) for r in leak.leaks(df, "doc_id", "text", it, "item_id", "text", n, True).collect()}
+    got = {(r.doc_id, r.item_id): (r.n_words, r.at_word) for r in leak.leaks(df, "doc_id", "text", it, "item_id", "text", n).collect()}
     assert got == want
     old = leak.BLOCK_BYTES, leak.SHARD_WORDS
     leak.BLOCK_BYTES, leak.SHARD_WORDS = 200, 50
@@ -191,11 +191,31 @@ def test_leaks(spark):
     assert leak.leaks(df, "doc_id", "text", it.limit(0), "item_id", "text", n).count() == 0
 
 
+def test_equal_items_and_equal_documents_are_matched_once():
+    import resource
+    import time
+
+    words = " ".join(f"w{i}" for i in range(40))
+    items = leak.Items([(i, words) for i in range(1000)], 12)
+    ids = np.array([items.number[f"w{i}"] for i in range(40)], np.int32)
+    began, before = time.time(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    got = list(leak.find([ids.copy() for _ in range(1000)], items, 12))
+    assert sum(len(d) for d, *_ in got) == 1_000_000 and max(len(d) for d, *_ in got) <= leak.PAIRS
+    assert all((length == 40).all() and (at == 0).all() for _, _, length, at in got)
+    assert time.time() - began < 5 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
+    # documents and items that differ but share the passage
+    items = leak.Items([(i, f"x{i} {words} y{i}") for i in range(300)], 12)
+    ids = np.array([items.number[f"w{i}"] for i in range(40)], np.int32)
+    docs = [np.concatenate([[items.number[f"x{i}"]], ids, [0]]).astype(np.int32) for i in range(200)]
+    pairs = {(int(d), int(i)): int(n) for x in leak.find(docs, items, 12) for d, i, n in zip(*x[:3])}
+    assert len(pairs) == 60_000 and all(n == (41 if d == i else 40) for (d, i), n in pairs.items())
+
+
 def test_suffix_array_is_sorted():
     rnd = np.random.default_rng(4)
     w = np.append(rnd.integers(1, 3, 300), 0).astype(np.int32)
     starts = leak.whole_windows(w, 5)
-    a = leak.suffix_array(w, starts, 512)
+    a, _ = leak.suffix_array(w, starts, 512)
     keys = [tuple(w[i:]) for i in a]
     assert keys == sorted(keys) and sorted(a) == list(starts)
 
