@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -176,11 +177,21 @@ class Model:
         return got
 
 
-def train(samples: DataFrame, key: str, lang: str, text: str) -> Model:
-    """The model of at most PER_LANGUAGE labelled samples of each language, the first by key."""
+def labelled(samples: DataFrame, key: str, lang: str, text: str) -> list[tuple[str, str]]:
+    """(language, text) of at most PER_LANGUAGE labelled samples of each language, the first by key."""
     some = samples.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(key, lang, text)
     some = some.withColumn("_n", F.row_number().over(Window.partitionBy(lang).orderBy(key))).where(F.col("_n") <= PER_LANGUAGE)
-    return Model([(r[1], r[2]) for r in sorted(some.collect(), key=lambda r: (r[1], r[0]))])
+    return [(r[1], r[2]) for r in sorted(some.collect(), key=lambda r: (r[1], r[0]))]
+
+
+@lru_cache(maxsize=4)
+def fitted(samples: tuple[tuple[str, str], ...]) -> Model:
+    """The model of these samples, fitted once a process."""
+    return Model(list(samples))
+
+
+def train(samples: DataFrame, key: str, lang: str, text: str) -> Model:
+    return fitted(tuple(labelled(samples, key, lang, text)))
 
 
 def words_of_line(line: str, known: dict[str, str]) -> list[str]:
@@ -204,10 +215,10 @@ def languages(df: DataFrame, key: str, text: str, label: str, samples: DataFrame
     from 1. ``agrees`` says whether the label stands for the language.
     """
     schema = f"_key {dict(df.dtypes)[key]}, line_no int, lang string, confidence double, mixed boolean, agrees boolean"
-    fitted = train(samples, sample_key, "lang", "text")
-    if not fitted.langs:
+    model = train(samples, sample_key, "lang", "text")
+    if not model.langs:
         return df.sparkSession.createDataFrame([], schema).withColumnRenamed("_key", key)
-    sent = df.sparkSession.sparkContext.broadcast(fitted)
+    sent = df.sparkSession.sparkContext.broadcast(model)
     names = ["_key", "line_no", "lang", "confidence", "mixed", "agrees"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -73,13 +73,15 @@ def test_repetition(spark):
     for w, x in zip(texts, m.all(texts, 8, 0.5)):
         assert repetition.repeated_words(w) == slow(w)
         if len(w) >= 8 and 2 * slow(w) >= len(w):
-            assert x[8] and x[1] == slow(w)  # the bounds lose no case
+            assert x[11] and x[1] == slow(w)
+    for w, x in zip(texts, m.all(texts, 8, 0.5, True)):
+        assert x[11] or len(w) < 8 or 2 * slow(w) < len(w)  # the bounds lose no case
     seg = "array<struct<id:int,text:string,avg_logprob:double>>"
     rows = [
         (1, [(2, "a b c", -0.1), (1, "A, b; ḉc a b ｃ a bَ c", None), (None, "x", 0.0), (3, None, 0.0)], "n"),
         (2, [], "n"), (3, None, "n"), (4, [(1, "ق ل م " * 5000, 0.0)], "n"), (5, [(1, "?! ...", 0.0), (2, "", 0.0)], "n"),
     ]
-    out = {(r.transcript_id, r.segment_id): r for r in repetition.measure(spark.createDataFrame(rows, f"transcript_id long, segments {seg}, n_words string"), "transcript_id", "segments").collect()}
+    out = {(r.transcript_id, r.segment_id): r for r in repetition.measure(spark.createDataFrame(rows, f"transcript_id long, segments {seg}, n_words string"), "transcript_id", "segments", bands=repetition.fit_bands([("ar", "باب دار قلم كتاب نور ليل نهار شمس"), ("en", "the heart of the garden and a river by the gate")])).collect()}
     assert set(out) == {(1, 1), (1, 2), (1, -1), (4, 1), (4, -1)}
     assert (out[4, 1].n_words, out[4, 1].n_repeated, out[4, 1].outside) == (15000, 14997, True)
     assert out[1, -1].n_words == 12
