@@ -140,61 +140,70 @@ def offsets(lists: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
 
 
-def spans_of_batch(alike: Alike, batch: pa.RecordBatch, least: float, base: int) -> pa.RecordBatch:
-    """RAW rows of a batch of (doc, verse_id, tokens, places, slices)."""
-    doc, verse, tokens, places, slices = (batch.column(i) for i in range(5))
-    p_off, s_off, d_off = offsets(tokens), offsets(places), offsets(slices)
-    place, cut = pc.list_flatten(places), pc.list_flatten(slices)
-    w_lists = pc.struct_field(cut, "w")
-    w_off = offsets(w_lists)
-    words, (passage, stream) = numbered(pc.list_flatten(tokens), pc.list_flatten(w_lists))
-    tpos, vpos = (pc.struct_field(place, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("tpos", "vpos"))
-    row = np.repeat(np.arange(batch.num_rows), np.diff(s_off))
-    # the slice of each seed: the one of its row with its diagonal
-    d, at = (pc.struct_field(cut, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("d", "at"))
-    d_row = np.repeat(np.arange(batch.num_rows), np.diff(d_off))
-    key = lambda r, x: (r.astype(np.int64) << 32) + x
-    order = np.argsort(key(d_row, d))
-    mine = order[np.searchsorted(key(d_row, d)[order], key(row, tpos - vpos))]
-    p_len = np.diff(p_off)[row]
-    got = extend(alike, words, passage, p_off[row], p_len, stream, w_off[mine] - at[mine], at[mine] + np.diff(w_off)[mine], vpos, tpos, base)
-    matched, score, first, last = got
+def _key(row: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return (row.astype(np.int64) << 32) + x
+
+
+class Laid:
+    """A batch of :func:`candidates` as numbers: every seed with its passage and its slice of the document."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        self.doc, self.verse, tokens, places, slices = (batch.column(i) for i in range(5))
+        self.n = batch.num_rows
+        p_off, s_off, d_off = offsets(tokens), offsets(places), offsets(slices)
+        place, cut = pc.list_flatten(places), pc.list_flatten(slices)
+        w_lists = pc.struct_field(cut, "w")
+        w_off = offsets(w_lists)
+        self.words, (self.passage, self.stream) = numbered(pc.list_flatten(tokens), pc.list_flatten(w_lists))
+        self.tpos, self.vpos = (pc.struct_field(place, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("tpos", "vpos"))
+        self.row = np.repeat(np.arange(self.n), np.diff(s_off))
+        # the slice of each seed: the one of its row with its diagonal
+        d, at = (pc.struct_field(cut, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("d", "at"))
+        keys = _key(np.repeat(np.arange(self.n), np.diff(d_off)), d)
+        order = np.argsort(keys)
+        mine = order[np.searchsorted(keys[order], _key(self.row, self.tpos - self.vpos))]
+        self.size = np.diff(p_off)
+        self.p_at, self.s_at, self.s_len = p_off[self.row], w_off[mine] - at[mine], at[mine] + np.diff(w_off)[mine]
+
+    def extend(self, alike: Alike, base: int) -> tuple[np.ndarray, ...]:
+        return extend(alike, self.words, self.passage, self.p_at, self.size[self.row], self.stream, self.s_at, self.s_len, self.vpos, self.tpos, base)
+
+
+def spans_of_batch(x: Laid, alike: Alike, least: float, base: int) -> pa.RecordBatch:
+    """The RAW rows of a batch."""
+    matched, score, first, last = x.extend(alike, base)
+    row, tpos, vpos = x.row, x.tpos, x.vpos
     # the best alignment of each document place, in the order of the places
-    spots, group = np.unique(key(row, tpos), return_inverse=True)
+    group = np.unique(_key(row, tpos), return_inverse=True)[1]
     top = best_of(group, matched, score, vpos)
     t_row, t_pos, t_dia = row[top], tpos[top], (tpos - vpos)[top]
     lo, hi, ok = first[top] + t_dia, last[top] + t_dia, score[top] >= least
     keep = ok.copy()
-    crowded = np.flatnonzero(np.bincount(t_row, minlength=batch.num_rows) > 1)
+    crowded = np.flatnonzero(np.bincount(t_row, minlength=x.n) > 1)
     begin, end = np.searchsorted(t_row, crowded), np.searchsorted(t_row, crowded, "right")
     for b, e in zip(begin.tolist(), end.tolist()):  # a seed inside a span already accepted for the passage is passed over
         taken: list[tuple[int, int]] = []
         for k in range(b, e):
             if keep[k]:
-                if any(x <= t_pos[k] <= y for x, y in taken):
+                if any(i <= t_pos[k] <= j for i, j in taken):
                     keep[k] = False
                 else:
                     taken.append((lo[k], hi[k]))
     k, r = top[keep], t_row[keep]
-    first_seed = np.zeros(batch.num_rows, np.int64)
+    first_seed = np.zeros(x.n, np.int64)
     heads = np.concatenate([[True], t_row[1:] != t_row[:-1]]) if len(t_row) else np.zeros(0, bool)
     first_seed[t_row[heads]] = t_pos[heads]
     conf = np.array([round(s / 100.0 * scores.factor(n), 4) for s, n in zip(score[k].tolist(), matched[k].tolist())], float)
     take = pa.array(r, pa.int64())
-    numbers = lambda x: pa.array(x.astype(np.int32))
+    numbers = lambda c: pa.array(c.astype(np.int32))
     return pa.record_batch(
-        [doc.take(take), verse.take(take), numbers(first_seed[r]), numbers(lo[keep]), numbers(hi[keep]), numbers(first[k]), numbers(last[k]), numbers(matched[k]), numbers(np.diff(p_off)[r]), pa.array(score[k]), pa.array(conf)],
+        [x.doc.take(take), x.verse.take(take), numbers(first_seed[r]), numbers(lo[keep]), numbers(hi[keep]), numbers(first[k]), numbers(last[k]), numbers(matched[k]), numbers(x.size[r]), pa.array(score[k]), pa.array(conf)],
         names=[c.split()[0] for c in RAW.split(", ")],
     )
 
 
-def raw_matches(arrays: DataFrame, passages: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """RAW columns: every accepted span of every passage in every document.
-
-    ``first_seed`` is the document's first seed of the passage; spans tie in
-    the order (first_seed, verse_id, word_start). A ``bigram_df_cap`` of None
-    seeds by every pair of words, however common.
-    """
+def candidates(arrays: DataFrame, passages: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """doc, verse_id, tokens, places (of the seeds) and slices (the document's words under each diagonal)."""
     found = seeds(arrays, passages, cfg.bigram_df_cap)
     # Few bytes but much work a row: the number of tasks must not be cut down to the bytes.
     found = found.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc")
@@ -207,13 +216,39 @@ def raw_matches(arrays: DataFrame, passages: DataFrame, cfg: Config = Config())
         lo = F.greatest(d, F.lit(0))
         return F.struct(d.alias("d"), lo.alias("at"), F.slice("t", lo + 1, F.least(F.size("t") - lo, d + F.size("tokens") - lo)).alias("w"))
 
-    cut = placed.select("doc", "verse_id", "tokens", "places", F.transform(ds, piece).alias("slices"))
+    return placed.select("doc", "verse_id", "tokens", "places", F.transform(ds, piece).alias("slices"))
+
+
+def raw_matches(arrays: DataFrame, passages: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """RAW columns: every accepted span of every passage in every document.
+
+    ``first_seed`` is the document's first seed of the passage; spans tie in
+    the order (first_seed, verse_id, word_start). A ``bigram_df_cap`` of None
+    seeds by every pair of words, however common.
+    """
     least, base = cfg.min_score, cfg.budget_base
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alike = Alike()
         for b in batches:
             if b.num_rows:
-                yield spans_of_batch(alike, b, least, base)
+                yield spans_of_batch(Laid(b), alike, least, base)
+
+    return candidates(arrays, passages, cfg).mapInArrow(run, RAW)
+
+
+def extensions(arrays: DataFrame, passages: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """doc, verse_id, tpos, vpos, verse_start, verse_end, matched, score: how far each seed reaches both ways, before any is chosen."""
+    base = cfg.budget_base
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alike = Alike()
+        for b in batches:
+            if b.num_rows:
+                x = Laid(b)
+                matched, score, first, last = x.extend(alike, base)
+                row = pa.array(x.row, pa.int64())
+                numbers = [pa.array(c.astype(np.int32)) for c in (x.tpos, x.vpos, first, last, matched)]
+                yield pa.record_batch([b.column(0).take(row), b.column(1).take(row), *numbers, pa.array(score)], names=["doc", "verse_id", "tpos", "vpos", "verse_start", "verse_end", "matched", "score"])
 
-    return cut.mapInArrow(run, RAW)
+    return candidates(arrays, passages, cfg).mapInArrow(run, "doc bigint, verse_id int, tpos int, vpos int, verse_start int, verse_end int, matched int, score double")

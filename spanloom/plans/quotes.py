@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.functions import scores, textnorm
 from spanloom.operators import align, catalog, corpus, decide, evaluate, manifest, recover, rewrite, search, words
 from spanloom.plans import pipeline
 from spanloom.schema import SEGMENT
-from spanloom.sources.tables import dealt_out, table
+from spanloom.sources.tables import cut, dealt_out, table
 from spanloom.streaming import incremental
 
 #: Of the transcripts, what word streams are made of.
@@ -136,11 +136,22 @@ def corpus_numbering_alignment(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(f"""
 WITH p AS (SELECT verse_id, text_uthmani, {sql_pieces('text_uthmani')} AS p, uth_align FROM verses),
-a AS (SELECT *, CASE WHEN coalesce(len(uth_align), 0) > 0 THEN uth_align ELSE range(len(p)) END AS a FROM p)
-SELECT verse_id, CASE WHEN len(a) > 3 THEN array_to_string(p[a[2] + 1 : a[4] + 1], ' ') ELSE text_uthmani END AS quoted FROM a""")
+a AS (SELECT *, CASE WHEN coalesce(len(uth_align), 0) > 0 THEN uth_align ELSE range(len(p)) END AS a FROM p),
+r AS (SELECT *, unnest(range(0, len(a))) AS i FROM a)
+SELECT verse_id, CAST(i AS INT) AS first_word, CASE WHEN a[i + 1] IS NULL OR a[len(a)] IS NULL THEN text_uthmani ELSE array_to_string(p[a[i + 1] + 1 : a[len(a)] + 1], ' ') END AS quoted FROM r""")
 def quoted_fragments(spark: SparkSession, d: str) -> DataFrame:
-    """The source pieces behind the normalized words 1 to 3 of each verse."""
-    return _passages(spark, d).select("verse_id", textnorm.fragment(F.col("source"), F.col("align"), F.lit(1), F.lit(3)).alias("quoted"))
+    """The source pieces behind the normalized words of each verse from every one of them to the last."""
+    p = _passages(spark, d).withColumn("n", F.when(F.size("align") > 0, F.size("align")).otherwise(F.size(textnorm.pieces(F.col("source"))))).where("n > 0")
+    p = p.withColumn("first_word", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return p.select("verse_id", "first_word", textnorm.fragment(F.col("source"), F.col("align"), F.col("first_word"), F.col("n") - 1).alias("quoted"))
+
+
+@_query(f"""
+WITH {_POSTINGS_SQL}, v AS (SELECT verse_id, count(*) AS n, count(*) FILTER (df > 50) AS n_over FROM postings GROUP BY verse_id)
+SELECT (SELECT count(*) FROM (SELECT DISTINCT w1, w2 FROM postings WHERE df > 50)) AS pairs_over_cap, CAST(coalesce(sum(n_over), 0) AS BIGINT) AS places_over_cap, count(*) FILTER (n = n_over) AS passages_unseeded FROM v""")
+def seed_cap_effect(spark: SparkSession, d: str) -> DataFrame:
+    """What the cap on common pairs of words leaves out of the seeds."""
+    return corpus.seed_cap(_passages(spark, d), 50)
 
 
 @_query(f"WITH {_POSTINGS_SQL} SELECT w1, w2, count(*) AS df FROM vb GROUP BY w1, w2")
@@ -172,12 +183,161 @@ def token_fuzzy_match(spark: SparkSession, d: str) -> DataFrame:
     return search.near_tokens(a, b)
 
 
-@_query()
+def _sql_lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence of two strings: one row of the table for each letter of the first."""
+    step = f"lambda row, x: list_reduce(range(1, length({b}) + 1), lambda new, j: list_append(new, CASE WHEN substr({b}, CAST(j AS INT), 1) = x[1] THEN row[j] + 1 ELSE greatest(row[j + 1], new[-1]) END), [0])"
+    letters = f"list_transform(range(1, length({a}) + 1), lambda i: [substr({a}, CAST(i AS INT), 1)])"
+    return f"list_reduce({letters}, {step}, list_transform(range(0, length({b}) + 1), lambda i: 0))[-1]"
+
+
+def _sql_one_edit(a: str, b: str) -> str:
+    """Whether two different strings are one letter apart, counted in characters."""
+    left_out = lambda x, y: f"len(list_filter(range(1, length({x}) + 1), lambda i: substr({x}, 1, CAST(i AS INT) - 1) || substr({x}, CAST(i AS INT) + 1) = {y})) > 0"
+    changed = f"len(list_filter(range(1, length({a}) + 1), lambda i: substr({a}, CAST(i AS INT), 1) <> substr({b}, CAST(i AS INT), 1))) <= 1"
+    return f"CASE length({a}) - length({b}) WHEN 0 THEN {changed} WHEN 1 THEN {left_out(a, b)} WHEN -1 THEN {left_out(b, a)} ELSE false END"
+
+
+# Diagonals laid out word by word: which words are alike (equal, one edit apart, or both of four letters and 85 % similar), how far each seed
+# reaches within its budget of mismatches, and the score of what it reaches.
+_REACH_SQL = (
+    _SEEDS_SQL.replace("WITH ", "WITH RECURSIVE ", 1)
+    + f""",
+laid AS (SELECT DISTINCT doc, verse_id, tpos - vpos AS d FROM seeds),
+cells AS (
+  SELECT l.doc, l.verse_id, l.d, v.vpos AS v, v.w AS p, w.norm AS t FROM laid l JOIN vt v USING (verse_id) JOIN words w ON w.doc = l.doc AND w.g = v.vpos + l.d
+),
+pairs AS (SELECT DISTINCT p, t FROM cells WHERE p <> t),
+near AS (
+  SELECT p, t FROM pairs WHERE {_sql_one_edit("p", "t")}
+  UNION SELECT p, t FROM pairs WHERE least(length(p), length(t)) >= 4 AND 200 * least(length(p), length(t)) >= 85 * (length(p) + length(t)) AND 200.0 * {_sql_lcs("p", "t")} / (length(p) + length(t)) >= 85.0
+),
+hits AS (SELECT c.*, c.p = c.t OR n.p IS NOT NULL AS hit FROM cells c LEFT JOIN near n ON n.p = c.p AND n.t = c.t),
+size AS (SELECT verse_id, len(tokens) AS n, 2 + len(tokens) // 6 AS budget FROM passages),
+sides AS (
+  SELECT s.doc, s.verse_id, s.tpos, s.vpos, h.v, h.hit, z.budget,
+    sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY s.doc, s.verse_id, s.tpos, s.vpos, h.v > s.vpos ORDER BY abs(h.v - s.vpos)) AS miss
+  FROM seeds s JOIN size z USING (verse_id) JOIN hits h ON h.doc = s.doc AND h.verse_id = s.verse_id AND h.d = s.tpos - s.vpos AND h.v NOT IN (s.vpos, s.vpos + 1)
+),
+ends AS (
+  SELECT s.doc, s.verse_id, s.tpos, s.vpos, coalesce(min(x.v) FILTER (x.v < s.vpos), s.vpos) AS a, coalesce(max(x.v) FILTER (x.v > s.vpos), s.vpos + 1) AS b
+  FROM seeds s LEFT JOIN (SELECT * FROM sides WHERE hit AND miss <= budget) x USING (doc, verse_id, tpos, vpos) GROUP BY s.doc, s.verse_id, s.tpos, s.vpos
+),
+texts AS (
+  SELECT e.doc, e.verse_id, e.tpos, e.vpos, e.a, e.b, string_agg(c.p, ' ' ORDER BY c.v) AS p, string_agg(c.t, ' ' ORDER BY c.v) AS t
+  FROM ends e JOIN cells c ON c.doc = e.doc AND c.verse_id = e.verse_id AND c.d = e.tpos - e.vpos AND c.v BETWEEN e.a AND e.b GROUP BY ALL
+),
+ratios AS (SELECT p, t, CASE WHEN p = t THEN 100.0 ELSE 200.0 * {_sql_lcs("p", "t")} / (length(p) + length(t)) END AS score FROM (SELECT DISTINCT p, t FROM texts)),
+reach AS (SELECT doc, verse_id, tpos, vpos, CAST(a AS INT) AS verse_start, CAST(b AS INT) AS verse_end, CAST(b - a + 1 AS INT) AS matched, score FROM texts JOIN ratios USING (p, t))
+"""
+)
+
+_FACTOR_SQL = "CASE WHEN matched >= 5 THEN 1.0 WHEN matched = 4 THEN 0.96 WHEN matched = 3 THEN 0.85 WHEN matched = 2 THEN 0.66 ELSE 0.40 END"
+# Per place the best reach; then in the order of places those of a passage that lie in no accepted span.
+_RAW_SQL = (
+    _REACH_SQL
+    + f""",
+tops AS (
+  SELECT *, row_number() OVER (PARTITION BY doc, verse_id ORDER BY tpos) AS k, min(tpos) OVER (PARTITION BY doc, verse_id) AS first_seed
+  FROM (SELECT *, tpos - vpos + verse_start AS lo, tpos - vpos + verse_end AS hi FROM reach QUALIFY row_number() OVER (PARTITION BY doc, verse_id, tpos ORDER BY matched DESC, score DESC, vpos) = 1)
+),
+fold AS (
+  SELECT doc, verse_id, k, score >= 78 AS good, CASE WHEN score >= 78 THEN [{{'lo': lo, 'hi': hi}}] ELSE [] END AS taken FROM tops WHERE k = 1
+  UNION ALL
+  SELECT t.doc, t.verse_id, t.k, t.score >= 78 AND len(list_filter(f.taken, lambda x: t.tpos BETWEEN x.lo AND x.hi)) = 0,
+    CASE WHEN t.score >= 78 AND len(list_filter(f.taken, lambda x: t.tpos BETWEEN x.lo AND x.hi)) = 0 THEN list_append(f.taken, {{'lo': t.lo, 'hi': t.hi}}) ELSE f.taken END
+  FROM fold f JOIN tops t ON t.doc = f.doc AND t.verse_id = f.verse_id AND t.k = f.k + 1
+),
+raw AS (
+  SELECT doc, verse_id, CAST(first_seed AS INT) AS first_seed, CAST(lo AS INT) AS word_start, CAST(hi AS INT) AS word_end, verse_start, verse_end, matched, CAST(n AS INT) AS verse_tokens, score,
+    round_even(score / 100.0 * {_FACTOR_SQL}, 4) AS conf
+  FROM tops JOIN fold USING (doc, verse_id, k) JOIN size USING (verse_id) WHERE good
+)
+"""
+)
+
+
+@_query(_REACH_SQL + "SELECT * FROM reach")
+def directional_extension(spark: SparkSession, d: str) -> DataFrame:
+    """How far each seed of every transcript reaches both ways, and with what score."""
+    return align.extensions(_arrays(spark, d), _passages(spark, d))
+
+
+@_query(_RAW_SQL + "SELECT * EXCLUDE (first_seed) FROM raw")
 def quote_matches(spark: SparkSession, d: str) -> DataFrame:
     """Which verses the transcripts quote, where, and how well: every accepted raw span."""
     return align.raw_matches(_arrays(spark, d), _passages(spark, d)).drop("first_seed")
 
 
+# Spans chosen greedily, then held against the raw ones of other passages over about the same words.
+_DECIDED_SQL = (
+    _RAW_SQL
+    + """,
+scored AS (
+  SELECT r.*, p.group_no, x.surah_order AS primary_no, coalesce(p.group_no = x.surah_order, false) AS own,
+    CASE WHEN coalesce(p.group_no = x.surah_order, false) THEN least(1.0, conf + 0.03) ELSE conf END AS c
+  FROM raw r JOIN passages p USING (verse_id) JOIN transcripts x ON x.transcript_id = r.doc
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY c DESC, matched DESC, score DESC, first_seed, verse_id, word_start) AS k FROM scored),
+chosen AS (
+  SELECT doc, k, [{'lo': word_start, 'hi': word_end, 'k': k}] AS taken FROM ranked WHERE k = 1
+  UNION ALL
+  SELECT r.doc, r.k, CASE WHEN len(list_filter(f.taken, lambda x: x.lo <= r.word_end AND r.word_start <= x.hi)) > 0 THEN f.taken ELSE list_append(f.taken, {'lo': r.word_start, 'hi': r.word_end, 'k': r.k}) END
+  FROM chosen f JOIN ranked r ON r.doc = f.doc AND r.k = f.k + 1
+),
+kept AS (SELECT r.* FROM ranked r JOIN (SELECT doc, unnest(taken).k AS k FROM (SELECT doc, taken FROM chosen QUALIFY row_number() OVER (PARTITION BY doc ORDER BY k DESC) = 1)) USING (doc, k)),
+rivals AS (
+  SELECT a.doc, a.k, bool_or(b.own) AS rival_own FROM kept a JOIN scored b ON a.doc = b.doc AND a.verse_id <> b.verse_id AND abs(a.score - b.score) <= 2.0 AND b.word_start <= a.word_end AND a.word_start <= b.word_end
+  WHERE (least(a.word_end, b.word_end) - greatest(a.word_start, b.word_start) + 1) / CAST(a.matched + b.matched - (least(a.word_end, b.word_end) - greatest(a.word_start, b.word_start) + 1) AS DOUBLE) >= 0.6 GROUP BY ALL
+),
+decided AS (
+  SELECT kept.* EXCLUDE (c, conf), CASE WHEN rival_own IS NOT NULL AND NOT (own AND NOT rival_own) THEN greatest(0.0, c - 0.12) ELSE c END AS c FROM kept LEFT JOIN rivals USING (doc, k)
+)
+"""
+)
+_STATUS_SQL = "CASE WHEN c >= 0.82 AND matched >= 3 THEN 'accepted' WHEN c >= 0.70 THEN 'review' ELSE 'rejected' END AS status, round_even(c, 4) AS confidence"
+
+
+def _decided(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The word arrays, and the spans decided on, before neighbours are recovered."""
+    arrays, passages = cut(_arrays(spark, d, "surah_order")), _passages(spark, d)
+    own = arrays.select("doc", F.col("surah_order").alias("primary_no"))
+    return arrays, decide.decide(cut(align.raw_matches(arrays, passages)), passages, own)
+
+
+@_query(_DECIDED_SQL + f"SELECT doc, verse_id, first_seed, word_start, word_end, verse_start, verse_end, matched, verse_tokens, score, group_no, primary_no, {_STATUS_SQL} FROM decided")
+def decide_spans(spark: SparkSession, d: str) -> DataFrame:
+    """The disjoint spans of every transcript with their confidence and tier."""
+    return _decided(spark, d)[1].drop("id")
+
+
+@_query(_DECIDED_SQL + f""",
+z AS (SELECT d.*, v.surah_name, v.ayah_no, v.text_uthmani, v.uth_align, {sql_pieces("v.text_uthmani")} AS pieces, {_STATUS_SQL} FROM decided d JOIN verses v USING (verse_id)),
+y AS (SELECT *, CASE WHEN coalesce(len(uth_align), 0) > 0 THEN uth_align ELSE range(len(pieces)) END AS a FROM z WHERE status <> 'rejected'),
+spoken AS (SELECT y.doc, y.k, string_agg(w.raw, ' ' ORDER BY w.g) AS said, min(w.start) FILTER (w.g = y.word_start) AS "start", min(w."end") FILTER (w.g = y.word_end) AS "end" FROM y JOIN words w ON w.doc = y.doc AND w.g BETWEEN y.word_start AND y.word_end GROUP BY ALL)
+SELECT y.doc, surah_name AS surah, group_no AS surah_no, ayah_no AS ayah, ayah_no AS ayah_end, verse_id, text_uthmani AS canonical_text,
+  CASE WHEN verse_end < len(a) AND a[verse_start + 1] IS NOT NULL AND a[verse_end + 1] IS NOT NULL THEN array_to_string(pieces[a[verse_start + 1] + 1 : a[verse_end + 1] + 1], ' ') ELSE text_uthmani END AS canonical_quoted,
+  confidence, status, s."start", s."end", word_start, word_end, said AS transcript_text, round_even(score, 2) AS fuzz_score, round_even(least(1.0, matched / verse_tokens), 4) AS coverage,
+  group_no IS DISTINCT FROM primary_no AS is_cross_surah, CAST(NULL AS INT) AS chain_id
+FROM y JOIN spoken s USING (doc, k)""")
+def finish_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Times, texts, coverage and the quoted fragment of the spans decided on, before neighbours are recovered."""
+    arrays, spans = _decided(spark, d)
+    passages = _passages(spark, d)
+    kept = spans.where("status <> 'rejected'").withColumn("cross_group", F.coalesce(F.col("group_no") != F.col("primary_no"), F.lit(True)))
+    kept = kept.join(passages.select("verse_id", F.col("item_no").alias("item_end")), "verse_id").withColumn("chain_id", F.lit(None).cast("int"))
+    return pipeline.finish(arrays, kept, passages)
+
+
+@_query("""
+WITH n AS (SELECT verse_id, len(list_filter(string_split(coalesce(text_norm, ''), ' '), lambda w: w <> '')) AS n FROM verses),
+m AS (SELECT match_id, least(word_end - word_start + 1, n) AS m, n FROM verified_matches JOIN n USING (verse_id) WHERE word_start <= word_end)
+SELECT match_id, CASE WHEN n > 0 THEN ((10000 * m) // n + CASE WHEN 2 * ((10000 * m) % n) > n OR (2 * ((10000 * m) % n) = n AND ((10000 * m) // n) % 2 = 1) THEN 1 ELSE 0 END) / 10000.0 ELSE 0.0 END AS coverage FROM m""")
+def coverage_round(spark: SparkSession, d: str) -> DataFrame:
+    """The share of the verse that each match covers, to four digits, ties to even."""
+    p = _passages(spark, d).select("verse_id", F.size("tokens").alias("of"))
+    return _spans(spark, d).join(p, "verse_id").select("match_id", scores.coverage(F.col("n"), F.col("of")).alias("coverage"))
+
+
 @_query("SELECT a.verse_id, a.surah_no AS group_no, p.verse_id AS prev_id, n.verse_id AS next_id FROM verses a LEFT JOIN verses p ON p.verse_id = a.verse_id - 1 AND p.surah_no = a.surah_no LEFT JOIN verses n ON n.verse_id = a.verse_id + 1 AND n.surah_no = a.surah_no")
 def neighbour_lookup(spark: SparkSession, d: str) -> DataFrame:
     return corpus.neighbours(_passages(spark, d))
@@ -324,10 +484,14 @@ def group_statistics(spark: SparkSession, d: str) -> DataFrame:
     return catalog.statistics(table(spark, d, "transcripts"), "surah", "surah_order")
 
 
-@_query("SELECT transcript_id, 'data/audio/' || surah || '/ep_' || printf('%03d', episode) || '.wav' AS path FROM transcripts")
+_STEMS = "CASE transcript_id % 6 WHEN 0 THEN 'الجزء الأول' WHEN 1 THEN 'الجزء الثاني' WHEN 2 THEN 'الجزء_الثالث' WHEN 3 THEN 'الجزء الرابع' WHEN 4 THEN 'الجزء' ELSE '' END"
+
+
+@_query(f"""SELECT transcript_id, 'data/audio/' || surah || '/ep_' || printf('%03d', episode) || CASE transcript_id % 6 WHEN 0 THEN '_part1' WHEN 1 THEN '_part2' WHEN 2 THEN '_part3' WHEN 3 THEN '_part4' ELSE '' END || '.wav' AS path FROM transcripts""")
 def path_render(spark: SparkSession, d: str) -> DataFrame:
+    """Paths of the sound files, with the part that a file's name may tell."""
     t = table(spark, d, "transcripts")
-    return t.select("transcript_id", catalog.output_path("data/audio", F.col("surah"), F.col("episode"), F.lit(""), "wav").alias("path"))
+    return t.select("transcript_id", catalog.output_path("data/audio", F.col("surah"), F.col("episode"), F.concat("surah", F.lit(" "), F.expr(_STEMS)), "wav").alias("path"))
 
 
 _STATE_SQL = "state AS (SELECT user_id AS key, CASE event_type WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'failed' ELSE 'pending' END AS status, ts AS since FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)"
@@ -399,18 +563,16 @@ SELECT item_id, verse_id, CAST(rank AS INT) AS rank FROM r WHERE rank <= 10""")
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
     """The ten best verses for every evaluation item; scores are compared to six places."""
     q = table(spark, d, "eval_items").select("item_id", textnorm.tokens(textnorm.arabic(F.col("text"))).alias("w"))
-    hits = search.bm25(_passages(spark, d), "verse_id", "tokens", q, "item_id", "w", 2**31 - 1)
-    top = F.row_number().over(Window.partitionBy("item_id").orderBy(F.round("score", 6).desc(), "verse_id"))
-    return hits.withColumn("rank", top).where("rank <= 10").select("item_id", "verse_id", "rank")
+    return search.bm25(_passages(spark, d), "verse_id", "tokens", q, "item_id", "w", 10).select("item_id", "verse_id", "rank")
 
 
 @_query(f"""
-WITH {_PASSAGES_SQL}, q AS (SELECT verse_id AS query_id, tokens[1:3] AS w FROM passages WHERE len(tokens) > 0)
+WITH {_PASSAGES_SQL}, q AS (SELECT verse_id AS query_id, list_distinct(tokens) AS w FROM passages WHERE len(tokens) > 0)
 SELECT query_id, p.verse_id FROM q JOIN passages p ON list_has_all(p.tokens, q.w)""")
 def fts_all_terms(spark: SparkSession, d: str) -> DataFrame:
-    """The verses that have all of the first three words of each verse."""
+    """The verses that have all the words of each verse."""
     p = _passages(spark, d)
-    q = p.select(F.col("verse_id").alias("query_id"), F.slice("tokens", 1, 3).alias("w"))
+    q = p.select(F.col("verse_id").alias("query_id"), F.col("tokens").alias("w"))
     return search.all_terms(p, "verse_id", "tokens", q, "query_id", "w")
 
 
@@ -426,13 +588,13 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     at = incremental.work_folder(spark)
     events = incremental.table_stream(spark, f"{d}/events.parquet", "ts timestamp_ntz, event_type string, value double").where("ts IS NOT NULL")
     incremental.run_windowed(events.withColumn("ts", F.col("ts").cast("timestamp")), f"{at}/out", f"{at}/state")  # watermarks need a time with a zone
-    return spark.read.parquet(f"{at}/out").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
+    return incremental.latest(spark.read.parquet(f"{at}/out")).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @_query()
 def stream_enrich(spark: SparkSession, d: str) -> DataFrame:
-    """Raw spans of the transcripts, found file by file by Structured Streaming."""
+    """The matches of the transcripts, verified, recovered and chained, file by file by Structured Streaming."""
     at = incremental.work_folder(spark)
-    docs = incremental.table_stream(spark, f"{d}/transcripts.parquet", f"transcript_id long, segments array<{SEGMENT}>", 4)
+    docs = incremental.table_stream(spark, f"{d}/transcripts.parquet", f"transcript_id long, surah_order int, segments array<{SEGMENT}>", 4)
     incremental.enrich_new(docs, table(spark, d, "verses"), f"{at}/out", f"{at}/state")
-    return spark.read.parquet(f"{at}/out").drop("batch", "first_seed")
+    return spark.read.parquet(f"{at}/out/matches").drop("batch")
