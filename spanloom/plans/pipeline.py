@@ -79,11 +79,16 @@ def limits(passages: DataFrame, recovered: DataFrame, cfg: Config = Config()) ->
     return p.withColumn("documents_cut_off", recovered.where("cut_off").agg(F.count_distinct("doc")).scalar())
 
 
+def by_segment(arrays: DataFrame, matches: DataFrame) -> DataFrame:
+    """``matches`` with seg_id, the segment in which each begins."""
+    first = words.word_rows(arrays).select("doc", F.col("g").alias("word_start"), "seg_id")
+    return matches.join(first, ["doc", "word_start"])
+
+
 def enriched_documents(docs: DataFrame, e: Enriched, key: str = "transcript_id") -> DataFrame:
     """Nested documents: counts, matches, and segments with their matches and text."""
     names = [c for c in MATCH_COLUMNS if c != "doc"]
-    first = words.word_rows(e.arrays).select("doc", F.col("g").alias("word_start"), "seg_id")
-    m = e.matches.join(first, ["doc", "word_start"])
+    m = by_segment(e.arrays, e.matches)
     order = F.struct("word_start", "verse_id", F.struct(*names).alias("m"))
     plain = lambda c: F.transform(F.array_sort(F.collect_list(c)), lambda x: x["m"])
     per_doc = m.groupBy("doc").agg(plain(order).alias("matches"))

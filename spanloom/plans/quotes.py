@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.config import NormRules
 from spanloom.functions import scores, textnorm
 from spanloom.operators import align, catalog, corpus, decide, evaluate, manifest, recover, rewrite, search, words
 from spanloom.plans import pipeline
@@ -106,6 +107,14 @@ def normalize_text(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b)
 
 
+@_query(f"""
+SELECT verse_id, trim(regexp_replace(regexp_replace(translate(replace(nfc_normalize(coalesce(text_uthmani, '')), 'ـ', ''), 'آأإٱىة', 'اااايه'), '{_WS}', ' ', 'g'), ' +', ' ', 'g')) AS norm FROM verses""")
+def normalize_rules_off(spark: SparkSession, d: str) -> DataFrame:
+    """The verses with marks, hamza and other characters kept, composed first."""
+    rules = NormRules(drop_marks=False, unify_hamza=False, letters_only=False)
+    return table(spark, d, "verses").select("verse_id", textnorm.arabic(F.col("text_uthmani"), rules).alias("norm"))
+
+
 @_query(f"WITH {_WORDS_SQL} SELECT * FROM words")
 def tokenize_words(spark: SparkSession, d: str) -> DataFrame:
     return words.word_rows(_arrays(spark, d))
@@ -197,39 +206,43 @@ def _sql_one_edit(a: str, b: str) -> str:
     return f"CASE length({a}) - length({b}) WHEN 0 THEN {changed} WHEN 1 THEN {left_out(a, b)} WHEN -1 THEN {left_out(b, a)} ELSE false END"
 
 
-# Diagonals laid out word by word: which words are alike (equal, one edit apart, or both of four letters and 85 % similar), how far each seed
-# reaches within its budget of mismatches, and the score of what it reaches.
-_REACH_SQL = (
-    _SEEDS_SQL.replace("WITH ", "WITH RECURSIVE ", 1)
-    + f""",
-laid AS (SELECT DISTINCT doc, verse_id, tpos - vpos AS d FROM seeds),
-cells AS (
-  SELECT l.doc, l.verse_id, l.d, v.vpos AS v, v.w AS p, w.norm AS t FROM laid l JOIN vt v USING (verse_id) JOIN words w ON w.doc = l.doc AND w.g = v.vpos + l.d
+def _sql_reach(n: str) -> str:
+    """CTEs from seeds{n} to reach{n}.
+
+    Diagonals laid out word by word: which words are alike (equal, one edit
+    apart, or both of four letters and 85 % similar), how far each seed reaches
+    within its budget of mismatches, and the score of what it reaches.
+    """
+    return f"""
+laid{n} AS (SELECT DISTINCT doc, verse_id, tpos - vpos AS d FROM seeds{n}),
+cells{n} AS (
+  SELECT l.doc, l.verse_id, l.d, v.vpos AS v, v.w AS p, w.norm AS t FROM laid{n} l JOIN vt v USING (verse_id) JOIN words w ON w.doc = l.doc AND w.g = v.vpos + l.d
 ),
-pairs AS (SELECT DISTINCT p, t FROM cells WHERE p <> t),
-near AS (
-  SELECT p, t FROM pairs WHERE {_sql_one_edit("p", "t")}
-  UNION SELECT p, t FROM pairs WHERE least(length(p), length(t)) >= 4 AND 200 * least(length(p), length(t)) >= 85 * (length(p) + length(t)) AND 200.0 * {_sql_lcs("p", "t")} / (length(p) + length(t)) >= 85.0
+pairs{n} AS (SELECT DISTINCT p, t FROM cells{n} WHERE p <> t),
+near{n} AS (
+  SELECT p, t FROM pairs{n} WHERE {_sql_one_edit("p", "t")}
+  UNION SELECT p, t FROM pairs{n} WHERE least(length(p), length(t)) >= 4 AND 200 * least(length(p), length(t)) >= 85 * (length(p) + length(t)) AND 200.0 * {_sql_lcs("p", "t")} / (length(p) + length(t)) >= 85.0
 ),
-hits AS (SELECT c.*, c.p = c.t OR n.p IS NOT NULL AS hit FROM cells c LEFT JOIN near n ON n.p = c.p AND n.t = c.t),
-size AS (SELECT verse_id, len(tokens) AS n, 2 + len(tokens) // 6 AS budget FROM passages),
-sides AS (
+hits{n} AS (SELECT c.*, c.p = c.t OR n.p IS NOT NULL AS hit FROM cells{n} c LEFT JOIN near{n} n ON n.p = c.p AND n.t = c.t),
+sides{n} AS (
   SELECT s.doc, s.verse_id, s.tpos, s.vpos, h.v, h.hit, z.budget,
     sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY s.doc, s.verse_id, s.tpos, s.vpos, h.v > s.vpos ORDER BY abs(h.v - s.vpos)) AS miss
-  FROM seeds s JOIN size z USING (verse_id) JOIN hits h ON h.doc = s.doc AND h.verse_id = s.verse_id AND h.d = s.tpos - s.vpos AND h.v NOT IN (s.vpos, s.vpos + 1)
+  FROM seeds{n} s JOIN size z USING (verse_id) JOIN hits{n} h ON h.doc = s.doc AND h.verse_id = s.verse_id AND h.d = s.tpos - s.vpos AND h.v NOT IN (s.vpos, s.vpos + 1)
 ),
-ends AS (
+ends{n} AS (
   SELECT s.doc, s.verse_id, s.tpos, s.vpos, coalesce(min(x.v) FILTER (x.v < s.vpos), s.vpos) AS a, coalesce(max(x.v) FILTER (x.v > s.vpos), s.vpos + 1) AS b
-  FROM seeds s LEFT JOIN (SELECT * FROM sides WHERE hit AND miss <= budget) x USING (doc, verse_id, tpos, vpos) GROUP BY s.doc, s.verse_id, s.tpos, s.vpos
+  FROM seeds{n} s LEFT JOIN (SELECT * FROM sides{n} WHERE hit AND miss <= budget) x USING (doc, verse_id, tpos, vpos) GROUP BY s.doc, s.verse_id, s.tpos, s.vpos
 ),
-texts AS (
+texts{n} AS (
   SELECT e.doc, e.verse_id, e.tpos, e.vpos, e.a, e.b, string_agg(c.p, ' ' ORDER BY c.v) AS p, string_agg(c.t, ' ' ORDER BY c.v) AS t
-  FROM ends e JOIN cells c ON c.doc = e.doc AND c.verse_id = e.verse_id AND c.d = e.tpos - e.vpos AND c.v BETWEEN e.a AND e.b GROUP BY ALL
+  FROM ends{n} e JOIN cells{n} c ON c.doc = e.doc AND c.verse_id = e.verse_id AND c.d = e.tpos - e.vpos AND c.v BETWEEN e.a AND e.b GROUP BY ALL
 ),
-ratios AS (SELECT p, t, CASE WHEN p = t THEN 100.0 ELSE 200.0 * {_sql_lcs("p", "t")} / (length(p) + length(t)) END AS score FROM (SELECT DISTINCT p, t FROM texts)),
-reach AS (SELECT doc, verse_id, tpos, vpos, CAST(a AS INT) AS verse_start, CAST(b AS INT) AS verse_end, CAST(b - a + 1 AS INT) AS matched, score FROM texts JOIN ratios USING (p, t))
+ratios{n} AS (SELECT p, t, CASE WHEN p = t THEN 100.0 ELSE 200.0 * {_sql_lcs("p", "t")} / (length(p) + length(t)) END AS score FROM (SELECT DISTINCT p, t FROM texts{n})),
+reach{n} AS (SELECT doc, verse_id, tpos, vpos, CAST(a AS INT) AS verse_start, CAST(b AS INT) AS verse_end, CAST(b - a + 1 AS INT) AS matched, score FROM texts{n} JOIN ratios{n} USING (p, t))
 """
-)
+
+
+_REACH_SQL = _SEEDS_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + ", size AS (SELECT verse_id, len(tokens) AS n, 2 + len(tokens) // 6 AS budget FROM passages)," + _sql_reach("")
 
 _FACTOR_SQL = "CASE WHEN matched >= 5 THEN 1.0 WHEN matched = 4 THEN 0.96 WHEN matched = 3 THEN 0.85 WHEN matched = 2 THEN 0.66 ELSE 0.40 END"
 # Per place the best reach; then in the order of places those of a passage that lie in no accepted span.
@@ -310,15 +323,85 @@ def decide_spans(spark: SparkSession, d: str) -> DataFrame:
     return _decided(spark, d)[1].drop("id")
 
 
-@_query(_DECIDED_SQL + f""",
-z AS (SELECT d.*, v.surah_name, v.ayah_no, v.text_uthmani, v.uth_align, {sql_pieces("v.text_uthmani")} AS pieces, {_STATUS_SQL} FROM decided d JOIN verses v USING (verse_id)),
-y AS (SELECT *, CASE WHEN coalesce(len(uth_align), 0) > 0 THEN uth_align ELSE range(len(pieces)) END AS a FROM z WHERE status <> 'rejected'),
+def _sql_finished(spans: str) -> str:
+    """The fields of spans (doc, k, verse_id, its group and item, item_end, chain_id, places, score, confidence, status, cross)."""
+    return _sql_places(spans) + _SELECT_FIELDS
+
+
+def _sql_places(spans: str) -> str:
+    return f"""
+z AS (SELECT d.*, v.surah_name, v.text_uthmani, v.uth_align, {sql_pieces("v.text_uthmani")} AS pieces FROM {spans} d JOIN verses v USING (verse_id)),
+y AS (SELECT *, CASE WHEN coalesce(len(uth_align), 0) > 0 THEN uth_align ELSE range(len(pieces)) END AS a FROM z),
 spoken AS (SELECT y.doc, y.k, string_agg(w.raw, ' ' ORDER BY w.g) AS said, min(w.start) FILTER (w.g = y.word_start) AS "start", min(w."end") FILTER (w.g = y.word_end) AS "end" FROM y JOIN words w ON w.doc = y.doc AND w.g BETWEEN y.word_start AND y.word_end GROUP BY ALL)
-SELECT y.doc, surah_name AS surah, group_no AS surah_no, ayah_no AS ayah, ayah_no AS ayah_end, verse_id, text_uthmani AS canonical_text,
+"""
+
+
+_SELECT_FIELDS = """SELECT y.doc, surah_name AS surah, group_no AS surah_no, item_no AS ayah, item_end AS ayah_end, verse_id, text_uthmani AS canonical_text,
   CASE WHEN verse_end < len(a) AND a[verse_start + 1] IS NOT NULL AND a[verse_end + 1] IS NOT NULL THEN array_to_string(pieces[a[verse_start + 1] + 1 : a[verse_end + 1] + 1], ' ') ELSE text_uthmani END AS canonical_quoted,
   confidence, status, s."start", s."end", word_start, word_end, said AS transcript_text, round_even(score, 2) AS fuzz_score, round_even(least(1.0, matched / verse_tokens), 4) AS coverage,
-  group_no IS DISTINCT FROM primary_no AS is_cross_surah, CAST(NULL AS INT) AS chain_id
-FROM y JOIN spoken s USING (doc, k)""")
+  is_cross AS is_cross_surah, chain_id
+FROM y JOIN spoken s USING (doc, k)"""
+
+
+_KEPT_SQL = _DECIDED_SQL + f""",
+good AS (
+  SELECT *, item_no AS item_end, group_no IS DISTINCT FROM primary_no AS is_cross, CAST(NULL AS INT) AS chain_id
+  FROM (SELECT d.*, p.item_no, {_STATUS_SQL} FROM decided d JOIN passages p USING (verse_id)) WHERE status <> 'rejected'
+)"""
+
+# Neighbours of the latest span first: the best reach of the next and the last passage of the group around it, through any pair of words.
+_PROBE_SQL = """list_reduce(list_filter(c{i}.at, lambda x: x.tpos >= {lo} AND x.tpos < {hi}), lambda a, b: CASE WHEN b.matched > a.matched THEN b ELSE a END, CAST({{'tpos': 0, 'lo': 0, 'hi': 0, 'verse_start': 0, 'verse_end': 0, 'matched': 0, 'score': 0.0}} AS {at}))"""
+_AT = "STRUCT(tpos INT, lo INT, hi INT, verse_start INT, verse_end INT, matched INT, score DOUBLE)"
+_NEW = "{{'verse_id': c{i}.verse_id, 'group_no': c{i}.group_no, 'word_start': CAST(p{i}.lo AS INT), 'word_end': CAST(p{i}.hi AS INT), 'is_cross': m.is_cross, 'verse_start': p{i}.verse_start, 'verse_end': p{i}.verse_end, 'matched': p{i}.matched, 'score': p{i}.score, 'is_new': true}}"
+_ITEM = "{'verse_id': verse_id, 'group_no': group_no, 'word_start': word_start, 'word_end': word_end, 'is_cross': is_cross, 'verse_start': verse_start, 'verse_end': verse_end, 'matched': matched, 'score': score, 'is_new': false}"
+_RECOVERED_SQL = (
+    _KEPT_SQL
+    + f""",
+quoted AS (SELECT DISTINCT doc, group_no FROM good),
+seeds2 AS (SELECT a.doc, a.g AS tpos, p.verse_id, p.vpos FROM quoted q JOIN words a ON a.doc = q.doc JOIN words b ON a.doc = b.doc AND b.g = a.g + 1 JOIN postings p ON p.w1 = a.norm AND p.w2 = b.norm JOIN passages x ON x.verse_id = p.verse_id AND x.group_no = q.group_no),
+{_sql_reach("2")},
+tops2 AS (SELECT * FROM reach2 QUALIFY row_number() OVER (PARTITION BY doc, verse_id, tpos ORDER BY matched DESC, score DESC, vpos) = 1),
+cand AS (
+  SELECT doc, verse_id, any_value(group_no) AS group_no, any_value(len(tokens)) AS n,
+    list(CAST({{'tpos': tpos, 'lo': tpos - vpos + verse_start, 'hi': tpos - vpos + verse_end, 'verse_start': verse_start, 'verse_end': verse_end, 'matched': matched, 'score': score}} AS {_AT}) ORDER BY tpos) AS at
+  FROM tops2 JOIN passages USING (verse_id) GROUP BY doc, verse_id
+),
+long AS (SELECT doc, max(g) + 1 AS n_words FROM words GROUP BY doc),
+work AS (
+  SELECT doc, list({_ITEM} ORDER BY word_start, verse_id) AS todo, list(DISTINCT verse_id) AS have, CAST([] AS STRUCT(verse_id INT, group_no INT, word_start INT, word_end INT, is_cross BOOLEAN, verse_start INT, verse_end INT, matched INT, score DOUBLE, is_new BOOLEAN)[]) AS found
+  FROM good GROUP BY doc
+  UNION ALL
+  SELECT doc, todo[1 : len(todo) - 1] || new_ones, have || list_transform(new_ones, lambda x: x.verse_id), found || new_ones FROM (
+    SELECT doc, todo, have, found,
+      CASE WHEN p1.score >= 72.0 AND p1.lo - m.word_end - 1 <= 4 THEN [{_NEW.format(i=1)}] ELSE [] END || CASE WHEN p2.score >= 72.0 AND m.word_start - p2.hi - 1 <= 4 THEN [{_NEW.format(i=2)}] ELSE [] END AS new_ones
+    FROM (
+      SELECT f.doc, f.todo, f.have, f.found, f.m, c1, c2,
+        {_PROBE_SQL.format(i=1, at=_AT, lo="greatest(0, f.m.word_end)", hi="least(l.n_words - 1, f.m.word_end + 1 + c1.n + 4)")} AS p1,
+        {_PROBE_SQL.format(i=2, at=_AT, lo="greatest(0, f.m.word_start - c2.n - 4)", hi="least(l.n_words - 1, f.m.word_start + 1)")} AS p2
+      FROM (SELECT *, todo[-1] AS m FROM work WHERE len(todo) > 0) f JOIN long l ON l.doc = f.doc
+      LEFT JOIN cand c1 ON c1.doc = f.doc AND c1.verse_id = f.m.verse_id + 1 AND c1.group_no = f.m.group_no AND NOT list_contains(f.have, c1.verse_id)
+      LEFT JOIN cand c2 ON c2.doc = f.doc AND c2.verse_id = f.m.verse_id - 1 AND c2.group_no = f.m.group_no AND NOT list_contains(f.have, c2.verse_id)
+    )
+  )
+),
+fresh AS (SELECT doc, unnest(found, max_depth := 2) FROM work WHERE len(todo) = 0),
+every AS (
+  SELECT doc, verse_id, group_no, item_no, word_start, word_end, is_cross, verse_start, verse_end, matched, verse_tokens, score, confidence, status FROM good QUALIFY row_number() OVER (PARTITION BY doc, verse_id ORDER BY word_start DESC) = 1
+  UNION ALL
+  SELECT doc, verse_id, group_no, item_no, word_start, word_end, is_cross, verse_start, verse_end, matched, n, score, conf, CASE WHEN conf >= 0.82 THEN 'accepted' ELSE 'review' END
+  FROM (SELECT f.*, p.item_no, len(p.tokens) AS n, round_even(score / 100.0 * {_FACTOR_SQL}, 4) AS conf FROM fresh f JOIN passages p USING (verse_id))
+),
+lagged AS (SELECT *, word_start - lag(word_end) OVER w - 1 AS gap, lag(group_no) OVER w AS pg, lag(item_no) OVER w AS pa FROM every WINDOW w AS (PARTITION BY doc ORDER BY word_start, verse_id)),
+isles AS (SELECT *, sum(CASE WHEN group_no = pg AND item_no = pa + 1 AND gap BETWEEN 0 AND 4 THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY word_start, verse_id) AS isle FROM lagged),
+parts AS (SELECT *, (row_number() OVER (PARTITION BY doc, isle ORDER BY word_start, verse_id) - 1) // 12 AS part FROM isles),
+linked AS (SELECT *, count(*) OVER one AS n_in, last_value(item_no) OVER (PARTITION BY doc, isle, part ORDER BY word_start, verse_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS e, row_number() OVER (PARTITION BY doc, isle, part ORDER BY word_start, verse_id) AS r FROM parts WINDOW one AS (PARTITION BY doc, isle, part)),
+counted AS (SELECT *, sum(CASE WHEN n_in > 1 AND r = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY word_start, verse_id) AS c FROM linked),
+chained AS (SELECT * EXCLUDE (c, gap, pg, pa, isle, part, n_in, e, r), verse_id AS k, CAST(CASE WHEN n_in > 1 THEN c END AS INT) AS chain_id, CASE WHEN n_in > 1 THEN e ELSE item_no END AS item_end FROM counted)
+"""
+)
+
+
+@_query(_KEPT_SQL + "," + _sql_finished("good"))
 def finish_fields(spark: SparkSession, d: str) -> DataFrame:
     """Times, texts, coverage and the quoted fragment of the spans decided on, before neighbours are recovered."""
     arrays, spans = _decided(spark, d)
@@ -408,13 +491,34 @@ def last_occurrence_wins(spark: SparkSession, d: str) -> DataFrame:
     return recover.last_of_each(_spans(spark, d), "transcript_id", "verse_id", "lo", "match_id").select("transcript_id", "verse_id", "match_id")
 
 
-@_query()
+@_query(_RECOVERED_SQL + "," + _sql_finished("chained"))
 def recover_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """Verified matches of every transcript with their recovered neighbours, chained."""
     e = pipeline.enrich(_transcripts(spark, d, "segments", "surah_order"), table(spark, d, "verses"))
     return e.matches
 
 
+@_query(_RECOVERED_SQL + "," + _sql_places("chained") + f""", fields AS ({_SELECT_FIELDS})
+SELECT coalesce(t.surah, '_') || '/ep_' || printf('%03d', coalesce(t.episode, 0)) || '.json' AS episode_path, t.surah AS primary_surah,
+  f.surah, ayah, ayah_end, verse_id, confidence, status, "start", "end", is_cross_surah, transcript_text, canonical_quoted FROM fields f JOIN transcripts t ON t.transcript_id = f.doc""")
+def match_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The flat lines of the whole pipeline's matches."""
+    docs = dealt_out(table(spark, d, "transcripts").select("transcript_id", "segments", "surah_order", "surah", "episode"), "transcript_id")
+    return pipeline.match_lines(pipeline.enrich(docs, table(spark, d, "verses")), docs)
+
+
+@_query(f"WITH {_WORDS_SQL} SELECT m.transcript_id AS doc, m.match_id, w.seg_id FROM verified_matches m JOIN words w ON w.doc = m.transcript_id AND w.g = m.word_start")
+def matches_by_segment(spark: SparkSession, d: str) -> DataFrame:
+    """The segment in which each match begins."""
+    m = table(spark, d, "verified_matches").select(F.col("transcript_id").alias("doc"), "match_id", "word_start")
+    return pipeline.by_segment(_arrays(spark, d), m).select("doc", "match_id", "seg_id")
+
+
+@_query("SELECT match_id, surah || ':' || ayah || CASE WHEN ayah_end IS NOT NULL AND ayah_end <> ayah THEN '-' || ayah_end ELSE '' END AS label FROM verified_matches")
+def match_labels(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "verified_matches").select("match_id", scores.label(F.col("surah"), F.col("ayah"), F.col("ayah_end")).alias("label"))
+
+
 @_query(f"""
 WITH {_WORDS_SQL},
 m AS (SELECT transcript_id AS doc, word_start, word_end, match_id, '﴿ ' || coalesce(nullif(canonical_quoted, ''), canonical_text, '') || ' ﴾ [' || surah || ':' || ayah || ']' AS put FROM verified_matches WHERE status = 'accepted' AND word_start <= word_end),
@@ -436,9 +540,24 @@ def enrichment_rollup(spark: SparkSession, d: str) -> DataFrame:
     return rewrite.rollup(table(spark, d, "verified_matches"), "transcript_id", "is_cross_surah")
 
 
-@_query("SELECT count(DISTINCT transcript_id) AS documents, count(DISTINCT transcript_id) AS ok, 0 AS failed, count(*) AS total_matches, count(*) FILTER (status = 'accepted') AS accepted, count(*) FILTER (status = 'review') AS review, count(*) FILTER (coalesce(is_cross_surah, false)) AS cross_group FROM verified_matches")
+@_query("""
+WITH m AS (SELECT count(DISTINCT transcript_id) AS ok, count(*) AS total_matches, count(*) FILTER (status = 'accepted') AS accepted, count(*) FILTER (status = 'review') AS review, count(*) FILTER (coalesce(is_cross_surah, false)) AS cross_group FROM verified_matches),
+f AS (SELECT count(*) AS failed FROM transcripts WHERE surah IS NULL)
+SELECT ok + failed AS documents, ok, failed, total_matches, accepted, review, cross_group FROM m, f""")
 def run_statistics(spark: SparkSession, d: str) -> DataFrame:
-    return rewrite.run_stats(rewrite.rollup(table(spark, d, "verified_matches"), "transcript_id", "is_cross_surah"))
+    """The statistics of the matches' table, transcripts without a surah standing for those that failed."""
+    errors = table(spark, d, "transcripts").where("surah IS NULL").select(F.col("transcript_id").alias("doc"), F.lit("no surah").alias("error"))
+    return rewrite.run_stats(rewrite.rollup(table(spark, d, "verified_matches"), "transcript_id", "is_cross_surah"), errors)
+
+
+@_query("""
+SELECT transcript_id, segment_no, round_even(s.start, 3) AS "start", round_even(s."end", 3) AS "end", round_even(s.avg_logprob, 4) AS avg_logprob, round_even(s.no_speech_prob, 4) AS no_speech_prob, round_even(duration_seconds, 2) AS duration_seconds, round_even(language_probability, 4) AS language_probability
+FROM (SELECT transcript_id, duration_seconds, language_probability, unnest(segments) AS s, CAST(generate_subscripts(segments, 1) - 1 AS INT) AS segment_no FROM transcripts)""")
+def recognizer_rounding(spark: SparkSession, d: str) -> DataFrame:
+    """Transcripts as a recognizer's output is kept: rounded, the segments numbered anew."""
+    t = table(spark, d, "transcripts").select("transcript_id", words.rounded(F.struct("duration_seconds", "language_probability", "segments")).alias("d"))
+    t = t.select("transcript_id", "d.duration_seconds", "d.language_probability", F.explode("d.segments").alias("s"))
+    return t.select("transcript_id", F.col("s.id").alias("segment_no"), "s.start", "s.end", "s.avg_logprob", "s.no_speech_prob", "duration_seconds", "language_probability")
 
 
 _NAMES = "CASE transcript_id % 8 WHEN 0 THEN 'تفسير سورة ' || n || ' رقم ' || e WHEN 1 THEN 'سورة ' || n || ' حلقة رقم ' || e WHEN 2 THEN 'سورة ' || n || ' الحلقة رقم ' || e WHEN 3 THEN 'سورة ' || n || 'الحلقة رقم ' || e WHEN 4 THEN 'سورة ' || n || ' الحلقات رقم ' || e || ' +1' WHEN 5 THEN 'سورة  ' || n || ' رقم ' || e WHEN 6 THEN 'مقدمة رقم ' || e ELSE n || ' ' || e END || '.mp4'"
@@ -479,6 +598,18 @@ def lookup_with_default(spark: SparkSession, d: str) -> DataFrame:
     return catalog.with_order(table(spark, d, "transcripts").select("transcript_id", "surah"), "surah", o, "surah_name", "surah_no")
 
 
+@_query(f"""
+WITH {_sql_parse()}, o AS (SELECT DISTINCT surah_name AS name FROM verses WHERE surah_no % 2 = 0)
+SELECT transcript_id, path FROM parsed p LEFT JOIN o a ON a.name = p."group" LEFT JOIN o b ON b.name = trim(replace(p."group", 'ال ', 'ال'))
+WHERE "group" IS NULL OR (NOT is_intro AND a.name IS NULL AND b.name IS NULL)""")
+def reported_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files whose name fits no pattern, and those whose group has no order in a list of every other surah."""
+    good, bad = catalog.route(catalog.parse(_files(spark, d), "path"))
+    o = table(spark, d, "verses").where("surah_no % 2 = 0").select("surah_name", "surah_no").distinct()
+    named = catalog.with_order(good, "group", o, "surah_name", "surah_no", F.col("is_intro"))
+    return bad.select("transcript_id", "path").unionByName(catalog.without_order(named).select("transcript_id", "path"))
+
+
 @_query("SELECT surah, min(surah_order) AS group_order, count(*) AS n_rows FROM transcripts GROUP BY surah")
 def group_statistics(spark: SparkSession, d: str) -> DataFrame:
     return catalog.statistics(table(spark, d, "transcripts"), "surah", "surah_order")
@@ -519,6 +650,15 @@ def pending_work(spark: SparkSession, d: str) -> DataFrame:
     return manifest.batches(p, "c_custkey", 50).select("c_custkey", "batch_no")
 
 
+@_query(f"""
+WITH {_STATE_SQL}, r AS (SELECT key, status FROM state UNION ALL SELECT c_custkey, 'pending' FROM customer WHERE c_custkey NOT IN (SELECT key FROM state))
+SELECT key, CASE WHEN key IN (SELECT o_custkey FROM orders) THEN 'done' ELSE status END AS status FROM r""")
+def manifest_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    """The customers registered in the state of the events, those with an order taken as done."""
+    reg = manifest.register(_state(spark, d), table(spark, d, "customer").select(F.col("c_custkey").alias("key")))
+    return manifest.reconcile(reg, table(spark, d, "orders").select(F.col("o_custkey").alias("key"))).select("key", "status")
+
+
 _PR_SQL = """
 t AS (SELECT DISTINCT transcript_id, surah, ayah FROM verified_matches WHERE status = 'accepted' AND ayah IS NOT NULL),
 p AS (SELECT DISTINCT transcript_id, surah, ayah FROM verified_matches WHERE fuzz_score >= 90 AND ayah IS NOT NULL)

@@ -4,7 +4,7 @@ from spanloom.plans import general, quotes
 from tests import edges
 
 #: Queries whose result is one row of counts, or a row per row of a table, over empty tables too.
-COUNTS = {"run_statistics", "manifest_counts", "pr_f1"}
+COUNTS = {"run_statistics", "manifest_counts", "pr_f1", "seed_cap_effect"}
 NAMES = [*general.QUERIES, *quotes.QUERIES]
 BOTH = general.QUERIES | quotes.QUERIES
 

@@ -63,3 +63,20 @@ def test_strong_boundaries_first(spark):
     text = "a" * 60 + ".\n\n" + "b" * 20 + ". " + "c" * 40
     got = [r.piece for r in sorted(pieces.split_text(spark.createDataFrame([(1, text)], "id int, text string"), "id", "text", 100).collect())]
     assert got == ["a" * 60 + ".\n\n", "b" * 20 + ". " + "c" * 40]
+
+
+def test_many_pieces_are_kept_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pieces, "_BLOCK", 3)
+    rnd = random.Random(5)
+    rows = []
+    for k in range(8):
+        lo, segs = 0, []
+        for i in range(rnd.choice([7, 60, 61, 62, 200])):
+            lo += rnd.randrange(1, 60)
+            segs.append((lo, i, lo + rnd.choice([5, 20, 40])))
+        rows.append((k, segs))
+    df = spark.createDataFrame(rows, "k int, p array<struct<lo:bigint,id:int,hi:bigint>>")
+    got = {}
+    for r in pieces.split_sequence(df, "k", F.col("p"), 100).collect():
+        got.setdefault(r.k, []).append((r.piece_no, r.first_part, r.last_part))
+    assert {k: sorted(v) for k, v in got.items()} == {k: brute(s, 100) for k, s in rows}
