@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _STRICT = {"allowSingleQuotes": "false"}
+#: Layers of a body that are opened in one block of steps.
+_LAYERS = 16
 
 
 def list_children(lists: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
@@ -119,7 +121,7 @@ def opened(text: Column, names: Sequence[str], envelope: str) -> Column:
 
     An envelope is an object with the field ``envelope`` and none of ``names``.
     Each layer takes two characters at least, which bounds the steps of the
-    fold; steps after the last layer do nothing.
+    fold. They go in blocks, and blocks after the last layer do nothing.
     """
     def quoted(t: Column) -> Column:
         return F.regexp_like(t, F.lit(r'\A\s*"'))
@@ -140,10 +142,13 @@ def opened(text: Column, names: Sequence[str], envelope: str) -> Column:
         t = s["text"]
         return F.when(~s["more"] | t.isNull(), s).when(quoted(t), layer(_only(t, "string"), F.lit(True))).otherwise(open_object(t))
 
-    steps = F.sequence(F.lit(1), F.floor(F.length(text) / 2).cast("int") + 1)
-    # a field's name may be written with escapes, so a text with any is looked into
-    may = quoted(text) | text.contains(f'"{envelope}"') | text.contains("\\u")
-    return F.when(may, F.aggregate(steps, layer(text, F.lit(True)), step, lambda s: s["text"])).otherwise(text)
+    def block(s: Column, _: Column) -> Column:
+        return F.when(s["more"] & s["text"].isNotNull(), F.aggregate(F.sequence(F.lit(1), F.lit(_LAYERS)), s, step)).otherwise(s)
+
+    blocks = F.sequence(F.lit(1), F.floor(F.length(text) / (2 * _LAYERS)).cast("int") + 1)
+    # a field's name may be written with escapes, so a text with escapes of ASCII letters is looked into
+    may = quoted(text) | text.contains(f'"{envelope}"') | F.regexp_like(text, F.lit(r"\\u00[4-7]"))
+    return F.when(may, F.aggregate(blocks, layer(text, F.lit(True)), block, lambda s: s["text"])).otherwise(text)
 
 
 def parent_table(df: DataFrame, key: str, body: str, lists: Sequence[str], fields: Sequence[str], envelope: str = "payload") -> DataFrame:
