@@ -19,12 +19,13 @@ like special tokens are ordinary text; a text of any length is encoded whole.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed value: the pattern that cuts texts into pieces, as published with the byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -190,11 +191,31 @@ class Encoder:
         return np.concatenate([[0], total])[ends], flat
 
 
+_SENT: set[tuple[str, str]] = set()
+
+
+def sent(spark: SparkSession, path: str) -> Callable[[], str]:
+    """Sends a vocabulary file with the job, once an application; returns what gives its place in a worker."""
+    sc = spark.sparkContext
+    if (sc.applicationId, path) not in _SENT:
+        sc.addFile(path)
+        _SENT.add((sc.applicationId, path))
+    name = os.path.basename(path)
+
+    def place() -> str:
+        from pyspark import SparkFiles
+
+        return SparkFiles.get(name)
+
+    return place
+
+
 def encode(df: DataFrame, key: str, text: str, path: str = DEFAULT) -> DataFrame:
-    """Columns: the key and ids, one row per row of ``df``."""
+    """Columns: the key and ids, one row per row of ``df``. The vocabulary is read by the driver and sent with the job."""
+    place = sent(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder(place())
         for b in batches:
             keys, texts = b.column(0), b.column(1).to_pylist()
             i = 0
