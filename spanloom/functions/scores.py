@@ -71,11 +71,13 @@ def half_even(x: Column, digits: int) -> Column:
     in the last digit).
     """
     s = F.lit(float(10**digits))
-    hi = x.cast("float").cast("double")
-    a, b = hi * s, (x - hi) * s
-    low = F.floor(a + b).cast("double")
-    side = (a - (low + 0.5)) + b
-    return F.when(side > 0, low + 1).when(side < 0, low).otherwise(low + F.pmod(low, F.lit(2.0))) / s
+    # Each step is the parameter of the next one's function, so it is worked out once and not once a use.
+    halves = F.transform(F.array(x.cast("double")), lambda v: F.struct(v.alias("v"), v.cast("float").cast("double").alias("hi")))
+    scaled = F.transform(halves, lambda h: F.struct((h["hi"] * s).alias("a"), ((h["v"] - h["hi"]) * s).alias("b")))
+    floored = F.transform(scaled, lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), F.floor(p["a"] + p["b"]).cast("double").alias("low")))
+    sided = F.transform(floored, lambda p: F.struct(p["low"].alias("low"), ((p["a"] - (p["low"] + 0.5)) + p["b"]).alias("side")))
+    whole = F.transform(sided, lambda p: F.when(p["side"] > 0, p["low"] + 1).when(p["side"] < 0, p["low"]).otherwise(p["low"] + F.pmod(p["low"], F.lit(2.0))))
+    return F.get(whole, F.lit(0)) / s
 
 
 def confidence(score: Column, n: Column) -> Column:
