@@ -125,10 +125,11 @@ class Passages(Mapping):
 
 def recover(arrays: DataFrame, kept: DataFrame, passages: DataFrame, cfg: Config = Config()) -> DataFrame:
     """doc, the columns of a match, recovered, cut_off (whether ``max_pops`` ended the document's search). ``kept`` has doc, group_no and the columns of a match."""
-    per = kept.groupBy("doc").agg(F.collect_list(F.struct(*_MATCH)).alias("m"))
-    near = kept.select("doc", "group_no").distinct().join(passages.select("group_no", "verse_id", "tokens"), "group_no")
-    near = near.groupBy("doc").agg(F.collect_list(F.struct("verse_id", "group_no", "tokens")).alias("v"))
-    rows = per.join(near, "doc").join(arrays.select("doc", F.col("words.norm").alias("t")), "doc").select("doc", "t", "m", "v")
+    # The groups of a document ride with its matches, so ``kept`` is worked out once.
+    groups = passages.groupBy("group_no").agg(F.collect_list(F.struct("verse_id", "group_no", "tokens")).alias("v"))
+    per = kept.groupBy("doc").agg(F.collect_list(F.struct(*_MATCH)).alias("m"), F.collect_set("group_no").alias("g")).select("doc", "m", F.explode("g").alias("group_no"))
+    near = per.join(groups, "group_no").groupBy("doc").agg(F.first("m").alias("m"), F.flatten(F.collect_list("v")).alias("v"))
+    rows = near.join(arrays.select("doc", F.col("words.norm").alias("t")), "doc").select("doc", "t", "m", "v")
     cols = {"doc": "bigint"} | _MATCH | {"recovered": "boolean", "cut_off": "boolean"}
     schema = pa.schema([(n, _ARROW[t]) for n, t in cols.items()])
 

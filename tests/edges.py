@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 FROM = "/root/testdata/sf0.001"
-TABLES = ("verses", "statistics", "transcripts", "verified_matches", "raw_records", "documents", "eval_items", "lang_samples", "events", "customer")
+TABLES = ("verses", "statistics", "transcripts", "verified_matches", "raw_records", "documents", "eval_items", "lang_samples", "events", "customer", "orders")
 CLASHING = ("lo", "hi", "kind", "axis", "shard", "value", "weight", "doc", "words", "id", "item", "pos", "node", "ids", "g", "h1", "k0", "line_no", "confidence", "owner", "status_", "_key", "_t", "key", "odd", "wider", "n_words", "word_no")
 
 
