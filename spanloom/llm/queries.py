@@ -25,7 +25,7 @@ def p2_share(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_measures(spark: SparkSession, d: str) -> DataFrame:
     """Fertility, byte share and entropy by two vocabularies against the bands of the language, and the share of repeated words, of every segment and transcript."""
-    bands = repetition.fit_bands(langid.labelled(table(spark, d, "lang_samples"), "sample_id", "lang", "text"))
+    bands = repetition.table_bands(table(spark, d, "lang_samples"), "lang", "text")
     return repetition.measure(table(spark, d, "transcripts"), "transcript_id", "segments", language="language", bands=bands)
 
 

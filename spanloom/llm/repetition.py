@@ -6,7 +6,7 @@ byte of a character, entropy of the tokens; and the share of repeated words.
 
 The tokens reject texts in two ways. *Bands* per language, and per script
 where a text has none, are fitted to labelled clean samples
-(:func:`fit_bands`); a text outside its band is flagged. And where only texts
+(:func:`table_bands`: all of a table's); a text outside its band is flagged. And where only texts
 with a share of ``half`` or more are wanted (``bounded``), the number of kinds
 of token and their entropy reject what cannot have it: every token of a
 repeated word came before, so a text of T tokens whose lightest half of the
@@ -68,20 +68,21 @@ class Tokens:
         self.is_byte = self.encoder.vocabulary.is_byte
 
     def of(self, kinds: list[str], code: np.ndarray, text_of_word: np.ndarray, n_texts: int, rank: np.ndarray, repeated: np.ndarray) -> dict[str, np.ndarray]:
-        """Per text: tokens, lone bytes, entropy, kinds of token, and the tokens of its lightest words, ``repeated`` of them."""
+        """Per text: tokens, lone bytes, entropy, kinds of token, and the tokens of its lightest words, ``repeated`` of them; and per text and kind of token (``of``, ``token``) its ``count``."""
         off, ids = self.encoder.encode([" " + w for w in kinds])
         n = np.diff(off)[code] if len(code) else np.zeros(0, np.int64)
         tokens = ids[np.repeat(off[:-1][code] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] if len(code) else np.zeros(0, np.int32)
         owner = np.repeat(text_of_word, n)
         total = np.bincount(owner, minlength=n_texts).astype(float)
         key, count = np.unique(owner.astype(np.int64) * len(self.is_byte) + tokens, return_counts=True)
-        of = key // len(self.is_byte)
+        of, token = np.divmod(key, len(self.is_byte))
         p = count / total[of]
         light = np.lexsort((n, text_of_word))
         lightest = np.bincount(text_of_word[light], weights=n[light] * (rank < repeated[text_of_word[light]]), minlength=n_texts)
         return {
             "total": total, "lone": np.bincount(owner, weights=self.is_byte[tokens], minlength=n_texts),
             "entropy": np.bincount(of, weights=-p * np.log2(p), minlength=n_texts), "kinds": np.bincount(of, minlength=n_texts), "lightest": lightest,
+            "of": of, "token": token, "count": count,
         }
 
 
@@ -141,8 +142,8 @@ def _inside(band: tuple, cpt: tuple, lone: tuple, entropy: tuple, total: tuple)
 def fit_bands(samples: list[tuple[str, str]], path: str = bpe.DEFAULT, multi: str = MULTI) -> dict[str, tuple]:
     """Per language, and per script, and per vocabulary: least and most characters per token, most lone bytes, and the least evenness at two lengths.
 
-    ``samples`` are (language, clean text), a bounded number of each language
-    (:func:`spanloom.llm.langid.labelled`).
+    ``samples`` are (language, clean text), few enough for one list;
+    :func:`table_bands` says the same of a table.
     """
     m = Measure(path, multi)
     groups: dict[str, list[list[str]]] = {}
@@ -158,19 +159,78 @@ def fit_bands(samples: list[tuple[str, str]], path: str = bpe.DEFAULT, multi: st
         for g in m.tokens(texts, 0.5):
             cpt = np.array([sum(map(len, w)) for w in texts]) / g["total"]
             even = np.array([_even(e, t) for e, t in zip(g["entropy"], g["total"])])
-            line = (np.log2([np.median(g["total"][:-1]), max(g["total"][-1], np.median(g["total"][:-1]) + 1)]), [even[:-1].min(), even[-1]])
-            band.append((cpt.min() / SLACK, cpt.max() * SLACK, float((g["lone"] / g["total"]).max() + BYTE_SLACK), line))
+            band.append(_band(cpt.min(), cpt.max(), (g["lone"] / g["total"]).max(), np.median(g["total"][:-1]), even[:-1].min(), g["total"][-1], even[-1]))
         bands[name] = tuple(band)
     return bands
 
 
+def _band(low: float, high: float, lone: float, middle: float, even: float, total: float, whole: float) -> tuple:
+    """The band of texts of ``middle`` tokens in the middle and an evenness of ``even`` at least, and of ``whole`` over all their ``total`` tokens."""
+    return low / SLACK, high * SLACK, float(lone + BYTE_SLACK), (np.log2([middle, max(total, middle + 1)]), [even, whole])
+
+
+def table_bands(samples: DataFrame, lang: str, text: str, path: str = bpe.DEFAULT, multi: str = MULTI) -> dict[str, tuple]:
+    """The bands of :func:`fit_bands` from every labelled sample of a table, of any number.
+
+    Samples are measured where they lie and leave as the number of each token
+    and the figures of each text, which are summed per group; the driver gets
+    one row of a group and vocabulary.
+    """
+    places = [bpe.sent(samples.sparkSession, p) for p in (path, multi)]
+    fields = "lang string, script string, vocabulary int, token int, total int, n long, low double, high double, lone double, even double"
+    arrow = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+    types = {f.split()[0]: arrow[f.split()[1]] for f in fields.split(", ")}
+
+    def rows(cols: dict[str, list | np.ndarray]) -> pa.RecordBatch:
+        n = len(cols["lang"])
+        return pa.record_batch([pa.array(cols[c], t) if c in cols else pa.nulls(n, t) for c, t in types.items()], names=list(types))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Measure(*(p() for p in places))
+        for big in batches:
+            for at in range(0, big.num_rows, 200):
+                b = big.slice(at, 200)
+                read = [(l, m.bare.words(t)) for l, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+                of = [(l, script(w[0])) for l, w in read if w]
+                texts = [w for _, w in read if w]
+                if not texts:
+                    continue
+                kinds = {k: i for i, k in enumerate(dict.fromkeys(of))}
+                names, group = list(kinds), np.array([kinds[k] for k in of], np.int64)
+                chars = np.array([sum(map(len, w)) for w in texts])
+                for v, g in enumerate(m.tokens(texts, 0.5)):
+                    cpt, even = chars / g["total"], [_even(e, t) for e, t in zip(g["entropy"], g["total"])]
+                    yield rows({
+                        "lang": [k[0] for k in of], "script": [k[1] for k in of], "vocabulary": np.full(len(of), v), "total": g["total"].astype(np.int64),
+                        "n": np.ones(len(of), np.int64), "low": cpt, "high": cpt, "lone": g["lone"] / g["total"], "even": even,
+                    })
+                    size = int(g["token"].max()) + 1
+                    key, back = np.unique(group[g["of"]] * size + g["token"], return_inverse=True)
+                    n = np.bincount(back, weights=g["count"]).astype(np.int64)
+                    k = [names[i] for i in key // size]
+                    yield rows({"lang": [x[0] for x in k], "script": [x[1] for x in k], "vocabulary": np.full(len(k), v), "token": key % size, "n": n})
+
+    parts = samples.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(lang, text).mapInArrow(run, fields)
+    parts = parts.withColumn("name", F.explode(F.array("lang", "script"))).groupBy("name", "vocabulary", "token", "total")
+    figures = [F.min("low").alias("low"), F.max("high").alias("high"), F.max("lone").alias("lone"), F.min("even").alias("even")]
+    # n log2 n of each token of the vocabulary, added in one order however the rows lie
+    spread = F.aggregate(F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.col("n") * F.log2("n")))), F.lit(0.0), lambda a, x: a + x)
+    tokens = F.sum(F.when(F.col("token").isNotNull(), F.col("n")))
+    groups = parts.agg(F.sum("n").alias("n"), *figures).groupBy("name", "vocabulary").agg(*figures, F.expr("percentile(total, 0.5, n)").alias("middle"), tokens.alias("tokens"), spread.alias("spread"))
+    bands: dict[str, tuple] = {}
+    for r in sorted(groups.collect(), key=lambda r: (r["name"], r["vocabulary"])):
+        whole = _even(np.log2(r["tokens"]) - r["spread"] / r["tokens"], r["tokens"])
+        bands[r["name"]] = (*bands.get(r["name"], ()), _band(r["low"], r["high"], r["lone"], r["middle"], r["even"], r["tokens"], whole))
+    return bands
+
+
 def measure(df: DataFrame, key: str, segments: str, path: str = bpe.DEFAULT, least: int = 8, half: float = 0.5, bounded: bool = False, language: str | None = None, bands: dict | None = None, multi: str = MULTI) -> DataFrame:
     """Columns: the key, segment_id (-1 for all segments in the order of their ids), avg_logprob, FIELDS.
 
     n_repeated and share are of every text. With ``bounded``, n_repeated is -1
     and share null where the tokens show that fewer than ``half`` of the words
     are repeated, or where the text has fewer than ``least`` words; ``exact``
-    says that it was counted. ``band`` is the one of :func:`fit_bands` the text
+    says that it was counted. ``band`` is the one of :func:`table_bands` the text
     was held against.
     """
     s = F.col(segments)

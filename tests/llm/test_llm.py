@@ -97,6 +97,24 @@ def test_every_text_has_its_share_of_repeated_words(spark):
     assert [x[1] for x in m.all(words, 8, 0.5, True)] == [-1, -1, -1, 10]
 
 
+def test_bands_are_of_all_samples(spark, tmp_path):
+    rnd = random.Random(3)
+    words = {"ar": "باب دار قلم كتاب نور ليل نهار شمس بحر جبل".split(), "en": "the heart of a garden and river by old gate".split()}
+    samples = [(lang, " ".join(rnd.choices(w, k=rnd.randrange(4, 30)))) for lang, w in words.items() for _ in range(langid.PER_LANGUAGE)]
+    late = "internationalization " * 12 + "crystallographically"
+    samples += [("en", late), ("ar", "ڰۑݥ " * 9), ("en", "?! 12 ..."), ("en", ""), (None, "x y z"), ("ar", None)]
+    spark.createDataFrame([(i, *s) for i, s in enumerate(samples)], "sample_id long, lang string, text string").repartition(3).write.parquet(f"{tmp_path}/lang_samples.parquet")
+    seg = "array<struct<id:int,text:string,avg_logprob:double>>"
+    spark.createDataFrame([(1, "en", [(1, late, 0.0), (2, "the river and the old gate by a garden", 0.0), (3, "𐎠𐎡𐎢 " * 9, 0.0)])], f"transcript_id long, language string, segments {seg}").write.parquet(f"{tmp_path}/transcripts.parquet")
+    got = {r.segment_id: (r.band, r.outside) for r in queries.p3_measures(spark, str(tmp_path)).collect()}
+    assert got[1] == ("en", False) and got[2] == ("en", False) and got[3] == ("en", True)
+    table, plain = repetition.table_bands(spark.read.parquet(f"{tmp_path}/lang_samples.parquet"), "lang", "text"), repetition.fit_bands([s for s in samples if s[0] and s[1]])
+    assert set(table) == set(plain) == {"ar", "en", "ARABIC", "LATIN", "OTHER"}
+    for name, band in plain.items():
+        for (low, high, byte, line), want in zip(table[name], band, strict=True):
+            assert (low, high, byte) == pytest.approx(want[:3]) and np.allclose(line, want[3])
+
+
 @pytest.mark.parametrize("text, wider, odd", [
     ("باب دار", False, False), ("باب دار", False, True), ("با​ب", False, True), ("ﺑﺎﺏ", False, True), ("آ", False, True), ("کتاب", False, True), ("کتاب می‌شود", True, False), ("می‌شود", False, True),
     ("abc, 1!", False, False), ("аbc", False, True), ("ａｂｃ", False, True), ("", False, False), ("﻿bab", True, True), ("😀", False, False), ("مُدَّ", False, not unicodedata.is_normalized("NFC", "مُدَّ")),
